@@ -11,6 +11,7 @@ import pyarrow as pa
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+import checks.model_queries  # noqa: E402, F401
 from checks.oracles import ORACLES  # noqa: E402
 from checks.workload import QUERIES  # noqa: E402
 

@@ -612,3 +612,44 @@ r AS (
     5 + coalesce(sum(vote) FILTER (WHERE vote BETWEEN 1 AND 5) OVER w, 0) AS s
   FROM v WINDOW w AS (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))
 SELECT event_id, vote, n_votes, round(s::DOUBLE / n_votes, 6) AS mean_vote FROM r"""
+
+# fragments and streams
+
+ORACLES["fragments"] = rf"""
+WITH RECURSIVE toks AS MATERIALIZED (
+  SELECT *, sum(length(token) + 1) OVER (PARTITION BY doc_id ORDER BY pos) AS filled FROM ({tokens_of(
+      "documents",
+      r"regexp_extract_all(text, '[\p{L}\p{M}\p{N}_]+(?:-[\p{L}\p{M}\p{N}_]+)*|\.{3}|[^\p{L}\p{M}\p{N}_\s]')",
+      "doc_id, source",
+  )})),
+ends AS MATERIALIZED (
+  SELECT a.doc_id, a.pos AS at, b.pos + 1 AS next_at
+  FROM (SELECT doc_id, pos, filled - length(token) - 1 + 1000 AS goal FROM toks) a
+  ASOF JOIN toks b ON a.doc_id = b.doc_id AND a.goal <= b.filled),
+starts AS (
+  SELECT doc_id, 0 AS at, 0 AS pos FROM documents
+  UNION ALL
+  SELECT e.doc_id, e.next_at, s.pos + 1 FROM starts s JOIN ends e ON s.doc_id = e.doc_id AND s.at = e.at),
+placed AS (
+  SELECT t.doc_id, t.source, s.pos, string_agg(t.token, ' ' ORDER BY t.pos) AS whole
+  FROM toks t ASOF JOIN starts s ON t.doc_id = s.doc_id AND t.pos >= s.at GROUP BY ALL),
+cut AS (
+  SELECT p.*, regexp_extract(whole, '(?s)^.*[.,!?]') AS c, EXISTS (SELECT 1 FROM starts s WHERE s.doc_id = p.doc_id AND s.pos = p.pos + 1) AS is_full
+  FROM placed p)
+SELECT doc_id AS book, 'author_id_' || CASE WHEN length(a) < 2 THEN '0' || a ELSE a END AS target, pos,
+       CASE WHEN is_full AND c <> '' THEN c ELSE whole END AS text
+FROM (SELECT *, regexp_extract(source, '([0-9]+)$', 1) AS a FROM cut)"""
+
+ORACLES["usage_stream"] = """
+SELECT strftime(time_bucket(INTERVAL '30 seconds', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+  count(*) FILTER (WHERE event_type = 'signup') AS n_signups,
+  count(*) FILTER (WHERE event_type IN ('click', 'view')) AS n_requests,
+  count(*) FILTER (WHERE event_type = 'purchase') AS n_ratings,
+  CAST(coalesce(sum(1 + CAST(floor(value) AS BIGINT) % 5) FILTER (WHERE event_type = 'purchase'), 0) AS BIGINT) AS sum_ratings
+FROM events GROUP BY 1"""
+ORACLES["new_user_stream"] = """
+SELECT DISTINCT user_id, event_type FROM events WHERE event_type = 'signup'"""
+ORACLES["user_counter_stream"] = """
+SELECT user_id, count(*) FILTER (WHERE event_type IN ('click', 'view')) AS requests,
+  CAST(arg_max(1 + CAST(floor(value) AS BIGINT) % 5, (ts, event_id)) FILTER (WHERE event_type = 'purchase') AS INTEGER) AS rating
+FROM events GROUP BY user_id"""

@@ -17,7 +17,7 @@ from penprint.sources.tables import read_table
 from penprint.streaming import scoring as stream_scoring
 from penprint.streaming import usage as stream_usage
 
-from checks.workload import STOP, WORD, author_number, docs, query, r6
+from checks.workload import CONTENT, STOP, WORD, author_number, docs, query, r6
 from penprint.functions import text as T
 
 
@@ -163,12 +163,10 @@ def training_run(spark, folder):
 
 def _topic_vectors(spark, folder):
     table = docs(spark, folder)
-    lemmas = scale.settled(
-        topics.content_lemmas(
-            table, lexicon.synthetic_lexicon(table), "doc_id", tags=["S", "A", "V"], stop=STOP
-        )
-    )
-    listed = topics.build_dictionary(topics.lemma_counts(lemmas, "doc_id"), lemmas.count())
+    words = lexicon.synthetic_lexicon(table)
+    lemmas = topics.content_lemmas(table, words, "doc_id", **CONTENT)
+    rows = topics.content_rows(table, words, "doc_id", **CONTENT)
+    listed = topics.build_dictionary(topics.lemma_counts(rows, "doc_id"), table.count())
     vectors, model = topics.count_vectors(lemmas, listed)
     return scale.settled(vectors.drop("lemmas")), model.vocabulary
 

@@ -150,10 +150,7 @@ def punct_tokens(spark, folder):
 
 @query
 def sentences(spark, folder):
-    rows = scale.balanced(docs(spark, folder)).select(
-        "doc_id", F.posexplode(T.sentences("text")).alias("pos", "sentence")
-    )
-    return rows
+    return scale.unnest(scale.balanced(docs(spark, folder)), ["doc_id"], T.sentences("text"), "sentence", "pos")
 
 
 @query
@@ -293,7 +290,7 @@ def grammar_bow(spark, folder):
 
 @query
 def char_bigrams(spark, folder):
-    rows = terms.char_ngrams(docs(spark, folder), "doc_id", 2, alphabet="a-zàâäáéèêëíîïóôöúùûüœæçñß")
+    rows = terms.char_ngrams(docs(spark, folder), "doc_id", 2, alphabet="abcdefghijklmnopqrstuvwxyzàâäáéèêëíîïóôöúùûüœæçñß")
     return rows.groupBy("doc_id", "gram").agg(
         F.sum("n").alias("total"), F.count("*").alias("n_positions"), F.max("n").alias("most")
     )
@@ -370,10 +367,8 @@ def pos_profile(spark, folder):
 @query
 def top_words(spark, folder):
     table = docs(spark, folder)
-    cleaned = recipes.preprocess(
-        table, lexicon.synthetic_lexicon(table), "doc_id", recipes=[1], stop=STOP, as_text=False
-    )
-    return terms.top_terms(cleaned, F.col("text_preproc1"), 50)
+    rows = recipes.recipe_lemmas(table, lexicon.synthetic_lexicon(table), "doc_id", 1, stop=STOP)
+    return terms.most_frequent(rows, "lemma", 50)
 
 
 @query
@@ -462,22 +457,20 @@ def leakage_check(spark, folder):
 # topics
 
 
-def _lemmas(spark, folder):
-    table = docs(spark, folder)
-    return topics.content_lemmas(
-        table, lexicon.synthetic_lexicon(table), "doc_id", tags=["S", "A", "V"], stop=STOP
-    )
+CONTENT = {"tags": ["S", "A", "V"], "stop": STOP}
 
 
 @query
 def content_lemmas(spark, folder):
-    return _lemmas(spark, folder).select("doc_id", F.array_join("lemmas", " ").alias("lemmas"))
+    table = docs(spark, folder)
+    out = topics.content_lemmas(table, lexicon.synthetic_lexicon(table), "doc_id", **CONTENT)
+    return out.select("doc_id", F.array_join("lemmas", " ").alias("lemmas"))
 
 
 def _dictionary(spark, folder):
-    lemmas = scale.settled(_lemmas(spark, folder))
-    counts = topics.lemma_counts(lemmas, "doc_id")
-    n_docs = lemmas.count()
+    table = docs(spark, folder)
+    rows = topics.content_rows(table, lexicon.synthetic_lexicon(table), "doc_id", **CONTENT)
+    counts, n_docs = topics.lemma_counts(rows, "doc_id"), table.count()
     return counts, topics.build_dictionary(counts, n_docs), n_docs
 
 
@@ -531,14 +524,13 @@ def probabilities(spark, folder) -> DataFrame:
     def hits_of(listed: list[str]) -> Column:
         return F.size(F.filter("w", lambda w: w.isin(listed))) + F.lit(1)
 
-    hits = [hits_of(listed) for listed in KEYWORDS.values()]
-    rows = rows.select("doc_id", "lang", F.array(*hits).alias("h"))
-    total = F.aggregate("h", F.lit(0), lambda a, x: a + x)
-    names = F.array(*[F.lit(k) for k in KEYWORDS])
+    rows = rows.select("doc_id", "lang", *[hits_of(k).alias(f"h_{c}") for c, k in KEYWORDS.items()])
+    rows = rows.withColumn("h_all", sum(F.col(f"h_{c}") for c in KEYWORDS))
+    names = F.array(*[F.lit(c) for c in KEYWORDS])
     rows = rows.select(
         "doc_id",
         (F.array_position(names, F.col("lang")) - 1).cast("int").alias("label"),
-        F.transform("h", lambda x: x / total).alias("probability"),
+        F.array(*[F.col(f"h_{c}") / F.col("h_all") for c in KEYWORDS]).alias("probability"),
     )
     return inference.predict_with_reject(rows, threshold=False, out="prediction")
 
@@ -562,7 +554,7 @@ def class_report(spark, folder):
 
 @query
 def auroc_binned(spark, folder):
-    out = evaluate.multiclass_auroc(probabilities(spark, folder), "label", "probability", len(KEYWORDS))
+    out = evaluate.multiclass_auroc(probabilities(spark, folder), "label", "probability")
     return out.select("class", r6("auroc").alias("auroc"))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, SparkSession
@@ -10,7 +9,6 @@ from pyspark.sql import functions as F
 
 from penprint.functions import fixed
 
-_MARK_CLASS = "[" + "".join(re.escape(mark) for mark in fixed.BLANKED_MARKS) + "]"
 _WORD_CHAR = r"\p{L}\p{M}\p{N}_"
 
 
@@ -19,7 +17,7 @@ def _col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(_col(c), F.lit(fixed.WHITESPACE))
 
 
 def to_lower(c: Column | str) -> Column:
@@ -41,7 +39,7 @@ def remove_short_words(c: Column | str) -> Column:
 
 
 def remove_punctuation(c: Column | str) -> Column:
-    blanked = F.regexp_replace(_col(c), _MARK_CLASS, " ")
+    blanked = F.translate(_col(c), fixed.BLANKED_MARKS, " " * len(fixed.BLANKED_MARKS))
     return strip(F.regexp_replace(blanked, r"(?U)\s+", " "))
 
 
@@ -72,8 +70,7 @@ def plain_prose(c: Column | str) -> Column:
     """Lower-case text without links, digits, punctuation and line breaks."""
     text = F.regexp_replace(F.lower(_col(c)), r"(?U)https?://\S+", " ")
     text = F.regexp_replace(text, r"\p{Nd}+", "")
-    text = F.regexp_replace(text, r"[\p{P}\p{S}]", " ")
-    return strip(F.regexp_replace(text, r"(?U)\s+", " "))
+    return strip(F.regexp_replace(text, r"(?U)[\p{P}\p{S}\s]+", " "))
 
 
 def extract_all(c: Column | str, pattern: str) -> Column:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from penprint.operators.scale import lookup_join, settled
+from penprint.operators.scale import lookup_join, settled, unnest
 
 MAX_CLASSES = 10_000
 
@@ -49,14 +49,20 @@ def scores(model: NaiveBayesTable, counts: DataFrame, docs: DataFrame, doc: str)
     A document without known terms is scored by the class sizes alone.
     """
     known = lookup_join(counts, model.weights, ["term"], salt_on=[doc])
-    lengths = known.groupBy(doc).agg(F.sum("tf").alias("len"))
-    gains = (
-        known.select(doc, "tf", F.explode("gains").alias("g"))
+    label_type = known.schema["gains"].dataType.elementType["label"].dataType
+    length = F.struct(F.lit(None).cast(label_type).alias("label"), F.lit(1.0).alias("gain"))
+    sums = (
+        unnest(known, [doc, "tf"], F.concat("gains", F.array(length)), "g")
         .groupBy(doc, F.col("g.label").alias("label"))
         .agg(F.sum(F.col("tf") * F.col("g.gain")).alias("gain"))
     )
+    pair = F.when(F.col("label").isNotNull(), F.struct("label", "gain"))
+    per_doc = sums.groupBy(doc).agg(
+        F.max(F.when(F.col("label").isNull(), F.col("gain"))).alias("len"),
+        F.map_from_entries(F.collect_list(pair)).alias("gains"),
+    )
     n_docs = sum(docs for _, docs, _ in model.classes)
-    terms = F.array(
+    classes = F.array(
         *[
             F.struct(
                 F.lit(name).alias("label"),
@@ -66,13 +72,10 @@ def scores(model: NaiveBayesTable, counts: DataFrame, docs: DataFrame, doc: str)
             for name, docs, words in model.classes
         ]
     )
-    lengths = docs.select(doc).join(lengths, doc, "left").fillna(0, ["len"])
-    grid = lengths.select(doc, "len", F.explode(terms).alias("c")).select(doc, "len", "c.*")
-    return grid.join(gains, [doc, "label"], "left").select(
-        doc,
-        "label",
-        (F.col("prior") + F.col("len") * F.col("base") + F.coalesce("gain", F.lit(0.0))).alias("score"),
-    )
+    rows = docs.select(doc).join(per_doc, doc, "left").select(doc, "len", "gains", F.explode(classes).alias("c"))
+    gain = F.coalesce(F.try_element_at("gains", F.col("c.label")), F.lit(0.0))
+    total = F.col("c.prior") + F.coalesce("len", F.lit(0.0)) * F.col("c.base") + gain
+    return rows.select(doc, F.col("c.label").alias("label"), total.alias("score"))
 
 
 def predict(model: NaiveBayesTable, counts: DataFrame, docs: DataFrame, doc: str) -> DataFrame:

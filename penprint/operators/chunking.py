@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from penprint.functions import text as T
-from penprint.operators.scale import balanced
+from penprint.operators.scale import balanced, unnest
 
 
 def split_author_prefix(df: DataFrame, value: str = "value") -> DataFrame:
@@ -69,7 +69,7 @@ def split_fragments(
         F.struct(last.alias("begin"), F.size("_tok").alias("end"), F.lit(False).alias("full"))
     )
     spans = F.when(last < F.size("_tok"), F.concat(spans, tail)).otherwise(spans)
-    rows = rows.select(*others, "_tok", F.posexplode(spans).alias("pos", "s"))
+    rows = unnest(rows, [*others, "_tok"], spans, "s", "pos")
     begin, end = F.col("s.begin"), F.col("s.end")
     whole = F.array_join(F.slice("_tok", begin + 1, end - begin), " ")
     cut = F.regexp_extract(whole, r"(?s)^.*[.,!?]", 0)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from penprint.functions import fixed, text as T
-from penprint.operators.scale import balanced, lookup_join, settled
+from penprint.operators.scale import balanced, lookup_join, settled, unnest
 
 LEXICON_COLUMNS = ["form", "lemma", "tag", "gr"]
 
@@ -28,7 +28,7 @@ def synthetic_lexicon(df: DataFrame, text: str = "text", pattern: str = fixed.AN
     The lemma drops a final ``s``; the tag follows from the word length. It tests
     the joins and says nothing about the language.
     """
-    forms = balanced(df).select(F.explode(T.word_tokens(text, pattern)).alias("form")).distinct()
+    forms = unnest(balanced(df), [], T.word_tokens(text, pattern), "form").distinct()
     tags = F.array(*[F.lit(t) for t in fixed.RATIO_TAGS])
     tag = F.element_at(tags, F.length("form") % 8 + 1)
     gr = F.concat(tag, F.lit(",n"), (F.length("form") % 3).cast("string"), F.lit("=x"))
@@ -43,8 +43,9 @@ def token_rows(
 
     ``keep_empty`` leaves one row with nulls for a text without tokens.
     """
-    explode = F.posexplode_outer if keep_empty else F.posexplode
-    return df.select(*keep, explode(tokens).alias("pos", "token"))
+    if not keep_empty:
+        return unnest(df, keep, tokens, "token", "pos")
+    return df.select(*keep, F.posexplode_outer(tokens).alias("pos", "token"))
 
 
 def with_lexicon(rows: DataFrame, lexicon: DataFrame, columns: list[str]) -> DataFrame:
@@ -122,7 +123,7 @@ def flatten_morphology(df: DataFrame, doc: str, morph: str = "morph") -> DataFra
     ``morph`` is an array of (text, analysis array of (gr)); tokens without a
     reading are left out.
     """
-    rows = df.select(doc, F.posexplode(morph).alias("pos", "m"))
+    rows = unnest(df, [doc], F.col(morph), "m", "pos")
     first = F.try_element_at(F.col("m.analysis"), F.lit(1))
     return rows.select(doc, "pos", T.strip("m.text").alias("token"), first["gr"].alias("gr")).where(
         F.col("gr").isNotNull()

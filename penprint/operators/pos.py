@@ -83,12 +83,15 @@ def text_stats(
     out = df
     if sent:
         out = sent_stats(out, text)
+    if tkn or pos:
+        out = out.withColumn("_tokens", T.word_tokens(text, pattern))
     if tkn:
-        out = token_stats(out, text, pattern)
+        out = token_stats(out, tokens="_tokens")
     if sent and (tkn or pos):
-        out = punct_to_word(out, text, pattern)
+        out = punct_to_word(out, "_tokens")
     else:
         out = out.withColumn("punct2word", F.lit(0.0))
+    out = out.drop("_tokens")
     if pos:
         out = out.join(pos_stats(df, lexicon, doc, text, pattern), doc)
     return out
@@ -143,20 +146,21 @@ def pos_profile(
 ) -> DataFrame:
     """Mean count of each tag per (author, sentence length), in long form.
 
-    Tag totals and sentence totals are counted apart, so no sentence has to be
-    regrouped from its tokens. Unknown tags are ignored.
+    One pass counts words per tag and, by their first words, sentences; no
+    sentence has to be regrouped from its tokens. Unknown tags are ignored.
     """
-    sents = sentence_rows(balanced(df).select(author, text), text)
-    totals = sents.groupBy(author, "n_words").agg(F.count("*").alias("n_sents"))
+    sents = sentence_rows(balanced(df).select(author, text), text).withColumnRenamed("pos", "place")
     words = T.extract_all(T.strip_for_morph("sentence", alphabet), rf"[{alphabet}]+(?:-[{alphabet}]+)*")
-    rows = sents.select(author, "n_words", "pos", F.explode(words).alias("token"))
+    rows = token_rows(sents, words, [author, "n_words", "place"], keep_empty=True)
     tagged = with_lexicon(rows, lexicon, ["gr"]).withColumn("tag", T.short_tag("gr"))
-    counted = tagged.where(F.col("tag").isin(tags)).groupBy(author, "n_words", "tag").agg(
-        F.count("*").alias("n")
+    first = F.col("pos").isNull() | (F.col("pos") == 0)
+    cells = tagged.groupBy(author, "n_words", "tag").agg(
+        F.count("*").alias("n"), F.count_if(first).alias("firsts")
     )
-    grid = totals.withColumn("tag", F.explode(F.array(*[F.lit(t) for t in tags])))
-    return (
-        grid.join(counted, [author, "n_words", "tag"], "left")
-        .withColumn("mean_count", F.coalesce("n", F.lit(0)) / F.col("n_sents"))
-        .drop("n")
+    per_tag = F.collect_list(F.when(F.col("tag").isin(tags), F.struct("tag", "n")))
+    totals = cells.groupBy(author, "n_words").agg(
+        F.sum("firsts").alias("n_sents"), F.map_from_entries(per_tag).alias("counts")
     )
+    grid = totals.withColumn("tag", F.explode(F.array(*[F.lit(t) for t in tags])))
+    found = F.coalesce(F.try_element_at("counts", F.col("tag")), F.lit(0))
+    return grid.withColumn("mean_count", found / F.col("n_sents")).drop("counts")

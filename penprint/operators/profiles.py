@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from penprint.functions import fixed
 from penprint.operators.pos import pos_shares_wide
-from penprint.operators.scale import exact_quantiles
+from penprint.operators.scale import exact_quantiles, settled
 from penprint.operators.stats import BASIC_STATS, basic_stats, sentence_rows, sentence_stats
 
 
@@ -46,7 +46,7 @@ def pos_median_profile(
     Returns author, tag, tag_rank, median_share, global_median.
     """
     tags = list(tags)
-    shares = pos_shares_wide(df, lexicon, [author, doc], tags, text, pattern)
+    shares = settled(pos_shares_wide(df, lexicon, [author, doc], tags, text, pattern).drop(doc))
     by_author = exact_quantiles(shares, [author], tags, 0.5, width)
     overall = exact_quantiles(shares.withColumn("_all", F.lit(0)), ["_all"], tags, 0.5, width)
     means = shares.groupBy(author).agg(*[F.avg(t).alias(t) for t in tags])

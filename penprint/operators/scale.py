@@ -29,6 +29,18 @@ def balanced(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
+def unnest(
+    df: DataFrame, keep: Sequence[str], array: Column, value: str, pos: str | None = None
+) -> DataFrame:
+    """One row per non-null array element: the kept columns, [pos,] value.
+
+    The outer form matters: the plain one makes Spark test the array's size below
+    the shuffle, which computes a long tokeniser twice.
+    """
+    spread = F.posexplode_outer(array).alias(pos, value) if pos else F.explode_outer(array).alias(value)
+    return df.select(*keep, spread).where(F.col(value).isNotNull())
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Write a derived table once to the checkpoint folder and read it from there."""
     checkpoint_root(df.sparkSession)
@@ -153,6 +165,7 @@ def exact_quantiles(
         .agg(F.count("*").alias("c"))
         .withColumn("bin", F.floor(F.col("v") / F.lit(width)))
     )
+    counts = settled(counts)
     group = [*keys, "stat"]
     bins = counts.groupBy(*group, "bin").agg(F.sum("c").alias("bc"))
     bins = bins.withColumn("upto", F.sum("bc").over(Window.partitionBy(*group).orderBy("bin")))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from penprint.functions import fixed, text as T
+from penprint.operators.scale import unnest
 
 SENT_STATS = [*fixed.TEXT_MARKS.values(), "avg_snt_len"]
 TOKEN_STATS = ["avg_tkn_len", "ttr"]
@@ -34,25 +35,28 @@ def sent_stats(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def token_stats(
-    df: DataFrame, text: str = "text", pattern: str = fixed.CYRILLIC_WORD
+    df: DataFrame, text: str = "text", pattern: str = fixed.CYRILLIC_WORD, tokens: str | None = None
 ) -> DataFrame:
-    """Mean token length and type-token ratio; zero without tokens."""
-    out = df.withColumn("_tokens", T.word_tokens(text, pattern))
-    total = F.size("_tokens")
-    return out.withColumns(
+    """Mean token length and type-token ratio; zero without tokens.
+
+    ``tokens`` names a column that already holds the word tokens.
+    """
+    words = tokens or "_words"
+    out = df if tokens else df.withColumn(words, T.word_tokens(text, pattern))
+    total = F.size(words)
+    out = out.withColumns(
         {
-            "avg_tkn_len": _ratio(F.length(F.array_join("_tokens", "")), total),
-            "ttr": _ratio(F.size(F.array_distinct("_tokens")), total),
+            "avg_tkn_len": _ratio(F.length(F.array_join(words, "")), total),
+            "ttr": _ratio(F.size(F.array_distinct(words)), total),
         }
-    ).drop("_tokens")
+    )
+    return out if tokens else out.drop(words)
 
 
-def punct_to_word(
-    df: DataFrame, text: str = "text", pattern: str = fixed.CYRILLIC_WORD
-) -> DataFrame:
-    """Marks per word; needs the columns of ``sent_stats``."""
+def punct_to_word(df: DataFrame, tokens: str) -> DataFrame:
+    """Marks per word, from the columns of ``sent_stats`` and the word tokens."""
     marks = sum((F.col(name) for name in fixed.TEXT_MARKS.values()), F.lit(0))
-    return df.withColumn("punct2word", _ratio(marks, F.size(T.word_tokens(text, pattern))))
+    return df.withColumn("punct2word", _ratio(marks, F.size(tokens)))
 
 
 def text_profile(df: DataFrame, text: str = "text") -> DataFrame:
@@ -117,7 +121,7 @@ def sentence_rows(df: DataFrame, text: str = "text", repair: bool = True) -> Dat
     """One row per sentence with its position and its blank-separated word count."""
     prose = T.strip(T.repair_spacing(text)) if repair else F.col(text)
     others = [c for c in df.columns if c != text]
-    rows = df.select(*others, F.posexplode(T.sentences(prose)).alias("pos", "sentence"))
+    rows = unnest(df, others, T.sentences(prose), "sentence", "pos")
     words = F.filter(F.split("sentence", r"(?U)\s+"), lambda w: F.length(w) > 0)
     return rows.withColumn("n_words", F.size(words))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from penprint.functions import fixed, text as T
-from penprint.operators.scale import balanced, lookup_join, settled
+from penprint.operators.scale import balanced, lookup_join, settled, unnest
 
 VECTOR_WORD = r"[\p{L}\p{N}_]{2,}"
 
@@ -39,7 +39,7 @@ def term_counts(
     """(doc, term, tf). The texts are partitioned by document while compact, so
     counting per (doc, term) needs no shuffle of the exploded tokens."""
     rows = df.repartition(doc).select(doc, *keep, tokens.alias("_t"))
-    grams = rows.select(doc, *keep, F.explode(ngrams_of(F.col("_t"), n_min, n_max)).alias("term"))
+    grams = unnest(rows, [doc, *keep], ngrams_of(F.col("_t"), n_min, n_max), "term")
     return grams.groupBy(doc, *keep, "term").agg(F.count("*").alias("tf"))
 
 
@@ -115,17 +115,17 @@ def char_ngrams(
 ) -> DataFrame:
     """(doc, pos, gram, n): character n-grams inside each blank-separated token.
 
-    Only n-grams made wholly of the alphabet count. ``max_tokens`` is the input
+    Only n-grams made wholly of the alphabet's letters count. ``max_tokens`` is the input
     length of a fixed-width model; by default all tokens are used.
     """
     tokens = F.split(F.lower(T.strip(text)), " ")
     if max_tokens is not None:
         tokens = F.slice(tokens, 1, max_tokens)
-    rows = balanced(df).select(doc, F.posexplode(tokens).alias("pos", "token"))
+    rows = unnest(df.repartition(doc), [doc], tokens, "token", "pos")
     starts = F.sequence(F.lit(1), F.length("token") - (n - 1))
     grams = F.transform(starts, lambda i: F.substring(F.col("token"), i, F.lit(n)))
-    rows = rows.where(F.length("token") >= n).select(doc, "pos", F.explode(grams).alias("gram"))
-    known = rows.where(F.col("gram").rlike(f"^[{alphabet}]{{{n}}}$"))
+    rows = unnest(rows.where(F.length("token") >= n), [doc, "pos"], grams, "gram")
+    known = rows.where(F.translate("gram", alphabet, "") == "")
     return known.groupBy(doc, "pos", "gram").agg(F.count("*").alias("n"))
 
 
@@ -136,16 +136,19 @@ def known_words(
     tokens = F.split(F.lower(T.strip(text)), " ")
     if max_tokens is not None:
         tokens = F.slice(tokens, 1, max_tokens)
-    rows = balanced(df).select(doc, F.posexplode(tokens).alias("pos", "token"))
+    rows = unnest(balanced(df), [doc], tokens, "token", "pos")
     listed = words.select(F.col(words.columns[0]).alias("token")).distinct()
     return lookup_join(rows, listed, ["token"], "left_semi", salt_on=[doc, "pos"])
 
 
 def top_terms(df: DataFrame, tokens: Column, k: int, ties: str = "asc") -> DataFrame:
     """The ``k`` most frequent tokens; ties in term order, rising or falling."""
-    counted = (
-        balanced(df).select(F.explode(tokens).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    )
+    return most_frequent(unnest(balanced(df), [], tokens, "term"), "term", k, ties)
+
+
+def most_frequent(rows: DataFrame, term: str, k: int, ties: str = "asc") -> DataFrame:
+    """The ``k`` most frequent values of a column: (term, n)."""
+    counted = rows.groupBy(F.col(term).alias("term")).agg(F.count("*").alias("n"))
     tie = F.asc("term") if ties == "asc" else F.desc("term")
     return counted.orderBy(F.desc("n"), tie).limit(k)
 

@@ -118,13 +118,29 @@ def grammar_codes(
 
 
 def flatten_morphology(df: DataFrame, doc: str, morph: str = "morph") -> DataFrame:
-    """Token rows with their first reading from nested analyser output.
+    """Token rows (doc, pos, token, gr) with the first reading of nested analyser output.
 
     ``morph`` is an array of (text, analysis array of (gr)); tokens without a
-    reading are left out.
+    reading have a null ``gr``.
     """
     rows = unnest(df, [doc], F.col(morph), "m", "pos")
     first = F.try_element_at(F.col("m.analysis"), F.lit(1))
-    return rows.select(doc, "pos", T.strip("m.text").alias("token"), first["gr"].alias("gr")).where(
-        F.col("gr").isNotNull()
-    )
+    return rows.select(doc, "pos", F.col("m.text").alias("token"), first["gr"].alias("gr"))
+
+
+def codes_from_morphology(
+    df: DataFrame, doc: str, morph: str = "morph", full: bool = True, scheme: str = "core", out: str = "codes"
+) -> DataFrame:
+    """Grammar codes of analyser output: code words stay, other tokens give their tag."""
+    codes = [code for _, code in fixed.MARK_CODES[scheme]] + [fixed.FREE_DASH_CODE[scheme]]
+    gr = F.col("gr") if full else T.brief_grammar("gr")
+    code = F.when(F.col("token").isin(codes), F.col("token")).otherwise(gr)
+    rows = flatten_morphology(df, doc, morph)
+    return rows.groupBy(doc).agg(F.array_join(in_order(code), " ").alias(out))
+
+
+def morphology_tags(df: DataFrame, doc: str, morph: str = "morph") -> DataFrame:
+    """Short and full tags per text from analyser output, tokens without a reading left out."""
+    rows = flatten_morphology(df, doc, morph)
+    tags = in_order(T.short_tag("gr")).alias("tags")
+    return rows.groupBy(doc).agg(tags, in_order(F.col("gr")).alias("grams"))

@@ -18,6 +18,9 @@ def build_session(app: str = "penprint", cores: str | int = "*", **conf) -> Spar
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Token lists are grouped per document; partitions bound their memory, so
+        # more than the default 128 documents may be open before Spark sorts.
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "4096")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")

@@ -129,9 +129,11 @@ WITH {PAGE_TEXT},
 placed AS (
   SELECT {PAGE_KEY} AS work, page_id, text,
          coalesce(TRY_CAST(regexp_extract(url, '[?&]page=([0-9]+)', 1) AS INTEGER), 1) AS page
-  FROM texts)
-SELECT work, string_agg(text, '' ORDER BY page, page_id) AS text, count(*) AS n_pages
-FROM placed GROUP BY work"""
+  FROM texts),
+cut AS (
+  SELECT *, CAST((row_number() OVER (PARTITION BY work ORDER BY page, page_id) - 1) // 256 AS INTEGER) AS part FROM placed)
+SELECT work, part, string_agg(text, '' ORDER BY page, page_id) AS text, count(*) AS n_pages
+FROM cut GROUP BY work, part"""
 
 ORACLES["plan_titles"] = f"""
 SELECT title, title IN (SELECT lang || '/' || CAST(doc_id AS VARCHAR) FROM documents) AS known

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from penprint.functions import text as T
-from penprint.operators.scale import balanced, dense_ids, lookup_join, settled
+from penprint.operators.scale import balanced, dense_ids, lookup_join, running_totals, settled
 
 # Named character references of the pages.
 ENTITIES = {
@@ -87,25 +87,24 @@ def page_number(url: Column | str) -> Column:
 def assemble_works(
     pages: DataFrame, work: str, page: str, tie: str, text: str = "text", block: int = 256
 ) -> DataFrame:
-    """Join the pages of a work in page order.
+    """Join the pages of a work in page order: (work, part, text, n_pages).
 
-    Pages are joined in blocks of page numbers first, so a work with very many
-    pages is assembled by many tasks and only finished blocks meet in the end.
+    A work of up to ``block`` pages is one row. A longer one comes as numbered
+    parts of ``block`` pages, so no task has to hold all pages of a key that owns
+    a large share of them. Places within a work come from running totals over
+    range-partitioned keys, not from one window per work.
     """
-
-    def joined(order: Column, value: str, name: str) -> Column:
-        pair = F.struct(order.alias("o"), F.col(value).alias("v"))
-        return F.array_join(
-            F.transform(F.array_sort(F.collect_list(pair)), lambda p: p.v), ""
-        ).alias(name)
-
-    rows = pages.withColumn("_block", F.floor(F.col(page) / F.lit(block)))
-    blocks = rows.groupBy(work, "_block").agg(
-        joined(F.struct(page, tie), text, "_part"), F.count("*").alias("_n")
-    )
-    return blocks.groupBy(work).agg(
-        joined(F.col("_block"), "_part", text), F.sum("_n").alias("n_pages")
+    placed = running_totals(pages.select(work, page, tie), [work, page, tie], {"_at": F.lit(1)})
+    placed = settled(placed)
+    starts = placed.groupBy(work).agg(F.min("_at").alias("_from"))
+    parts = lookup_join(placed, settled(starts), [work], salt_on=[page, tie]).select(
+        tie, (F.col("_at") - F.col("_from")).alias("_at")
     )
+    part = F.floor(F.col("_at") / F.lit(block)).cast("int")
+    pair = F.struct("_at", F.col(text).alias("v"))
+    joined = F.transform(F.array_sort(F.collect_list(pair)), lambda p: p["v"])
+    rows = pages.select(work, tie, text).join(parts, tie).withColumn("part", part)
+    return rows.groupBy(work, "part").agg(F.array_join(joined, "").alias(text), F.count("*").alias("n_pages"))
 
 
 def plan_titles(tasks: DataFrame, found: DataFrame, title: str = "title") -> DataFrame:

@@ -11,10 +11,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from penprint.session import checkpoint_root
 
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 256 << 20
 SALTS = 32
 
 
@@ -48,8 +50,18 @@ def settled(df: DataFrame) -> DataFrame:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Count a table's rows and bytes, up to the limits, before it is broadcast."""
     limit = BROADCAST_ROWS if max_rows is None else max_rows
-    return df.limit(limit + 1).count() <= limit
+    width = F.lit(0)
+    for field in df.schema.fields:
+        if isinstance(field.dataType, ST.StringType):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, (ST.ArrayType, ST.MapType)):
+            width = width + 32 * F.greatest(F.size(field.name), F.lit(0))
+        else:
+            width = width + 8
+    seen = df.limit(limit + 1).agg(F.count("*").alias("n"), F.sum(width.cast("bigint")).alias("b")).first()
+    return seen["n"] <= limit and (seen["b"] or 0) <= BROADCAST_BYTES
 
 
 def lookup_join(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from penprint.operators.scale import (
-    fits_broadcast, hash_cutoffs, hash_order, settled, size_then_hash_rank,
+    fits_broadcast, hash_cutoffs, hash_order, lookup_join, settled, size_then_hash_rank,
 )
 
 MAX_CLASSES = 100_000
@@ -89,9 +89,13 @@ def stratified_group_folds(
 ) -> DataFrame:
     """A fold per group: (label, group, n, fold), class shares kept alike.
 
-    Groups of a class are dealt to the folds back and forth, largest first.
+    Groups of a class are dealt to the folds back and forth, largest first. A
+    group with rows of several classes is dealt with its main class, so it still
+    has one fold.
     """
-    groups = df.groupBy(label, group).agg(F.count("*").alias("n"))
+    counts = df.groupBy(label, group).agg(F.count("*").alias("n"))
+    main = F.max_by(label, F.struct("n", label)).alias(label)
+    groups = counts.groupBy(group).agg(main, F.sum("n").alias("n"))
     ranked = size_then_hash_rank(groups.withColumn("_h", hash_order(group, seed)), [label], "n", "_h")
     turn, seat = F.floor((F.col("rank") - 1) / k), (F.col("rank") - 1) % k
     fold = F.when(turn % 2 == 0, seat).otherwise(k - 1 - seat).cast("int")
@@ -124,7 +128,7 @@ def apply_split(df: DataFrame, fold_groups: DataFrame, group: str, fold: int) ->
     """Mark the rows of one fold's groups as test, all others as train."""
     folds = fold_groups.select(group, "fold")
     split = F.when(F.col("fold") == fold, F.lit("test")).otherwise(F.lit("train"))
-    return df.join(folds, group).withColumn("split", split).drop("fold")
+    return lookup_join(df, folds, [group]).withColumn("split", split).drop("fold")
 
 
 def shared_groups(train: DataFrame, test: DataFrame, group: str) -> DataFrame:
@@ -138,7 +142,7 @@ def assert_disjoint_groups(train: DataFrame, test: DataFrame, group: str) -> Non
 
 
 def rows_in(df: DataFrame, listed: DataFrame, key: str) -> DataFrame:
-    return df.join(listed.select(key), key, "left_semi")
+    return lookup_join(df, listed.select(key).distinct(), [key], "left_semi")
 
 
 def union_corpora(*parts: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ def prepared(spark, folder) -> tuple[DataFrame, Inputs]:
     path = run_folder(spark, "lexicon")
     words.write.parquet(path)
     coded = catalogue.encode_labels(table.select("doc_id", "text", "lang"), "lang", "label")
-    rows = pos.text_stats(scale.balanced(coded), "doc_id", lexicon=words, pattern=WORD)
+    rows = pos.text_stats(coded, "doc_id", lexicon=words, pattern=WORD)
     rows = rows.withColumn("label", F.col("label").cast("double")).drop("lang")
     split = splits.stratified_holdout(scale.settled(with_class_weights(rows, "label")), "label", "doc_id")
     return scale.settled(split), Inputs(pattern=WORD, stopwords=tuple(STOP), lexicon_path=path)

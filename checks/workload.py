@@ -215,7 +215,7 @@ def pos_stats(spark, folder):
 @query
 def text_stats(spark, folder):
     table = docs(spark, folder)
-    out = pos.text_stats(scale.balanced(table), "doc_id", lexicon=lexicon.synthetic_lexicon(table), pattern=WORD)
+    out = pos.text_stats(table, "doc_id", lexicon=lexicon.synthetic_lexicon(table), pattern=WORD)
     real = ["avg_snt_len", *stats.TOKEN_STATS, "punct2word", *pos.POS_STATS]
     return out.select("doc_id", *fixed.TEXT_MARKS.values(), *[r6(c).alias(c) for c in real])
 

@@ -69,12 +69,16 @@ def split_fragments(
         F.struct(last.alias("begin"), F.size("_tok").alias("end"), F.lit(False).alias("full"))
     )
     spans = F.when(last < F.size("_tok"), F.concat(spans, tail)).otherwise(spans)
-    rows = unnest(rows, [*others, "_tok"], spans, "s", "pos")
-    begin, end = F.col("s.begin"), F.col("s.end")
-    whole = F.array_join(F.slice("_tok", begin + 1, end - begin), " ")
-    cut = F.regexp_extract(whole, r"(?s)^.*[.,!?]", 0)
-    piece = F.when(F.col("s.full") & (cut != ""), cut).otherwise(whole)
-    return rows.select(*others, "pos", T.strip(piece).alias(text))
+
+    def piece(span: Column) -> Column:
+        whole = F.array_join(F.slice("_tok", span["begin"] + 1, span["end"] - span["begin"]), " ")
+        cut = F.regexp_extract(whole, r"(?s)^.*[.,!?]", 0)
+        return T.strip(F.when(span["full"] & (cut != ""), cut).otherwise(whole))
+
+    # Fragments are joined inside the row, so their rows do not carry the token array.
+    return unnest(rows.withColumn("_spans", spans), others, F.transform("_spans", piece), text, "pos").select(
+        *others, "pos", text
+    )
 
 
 def build_corpus(books: DataFrame, number: int = 1000, unit: str = "chars") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,11 +30,16 @@ def tagged_words(
     return with_lexicon(rows, lexicon, ["tag"]).withColumn("tag", T.brief_grammar("tag"))
 
 
-def tag_counts(tagged: DataFrame, keys: list[str], tags: list[str]) -> DataFrame:
-    """Word count and one count column per tag, summed per key."""
-    sums = [F.sum((F.col("tag") == t).cast("int")).alias(f"tag_{t}") for t in tags]
-    counted = tagged.groupBy(*keys).agg(F.count("token").alias("n_tagged_words"), *sums)
-    return counted.fillna(0)
+def tag_counts(
+    tagged: DataFrame, keys: list[str], tags: list[str], keep: Sequence[str] = ()
+) -> DataFrame:
+    """Word count and one count column per tag, summed per key.
+
+    ``keep`` names columns that are constant per key.
+    """
+    sums = [F.count_if(F.col("tag") == t).alias(f"tag_{t}") for t in tags]
+    kept = [F.first(c).alias(c) for c in keep]
+    return tagged.groupBy(*keys).agg(F.count("token").alias("n_tagged_words"), *sums, *kept)
 
 
 def _share(top: Column, bottom: Column) -> Column:
@@ -41,28 +47,36 @@ def _share(top: Column, bottom: Column) -> Column:
     return F.when(both, top.cast("double") / bottom).otherwise(F.lit(0.0))
 
 
+def _ratios() -> dict[str, Column]:
+    """The ratios over the columns of ``tag_counts``."""
+
+    def n(tag: str) -> Column:
+        return F.col(f"`tag_{tag}`")
+
+    return {
+        "noun2verb": _share(n("S"), n("V")),
+        "adj2noun": _share(n("A"), n("S")),
+        "adv2verb": _share(n("ADV"), n("V")),
+        "pr2noun": _share(n("PR"), n("S")),
+        "conj2noun": _share(n("CONJ"), n("S")),
+        "pron2noun": _share(n("S-PRO") + n("A-PRO"), n("S")),
+        "verb2word": _share(n("V"), F.col("n_tagged_words")),
+    }
+
+
 def pos_stats(
     df: DataFrame, lexicon: DataFrame, doc: str, text: str = "text",
     pattern: str = fixed.CYRILLIC_WORD,
 ) -> DataFrame:
     """Ratios between part-of-speech counts; zero where either side is zero."""
-    counted = tag_counts(
-        tagged_words(df, lexicon, [doc], text, pattern), [doc], fixed.RATIO_TAGS
-    )
+    tagged = tagged_words(df, lexicon, [doc], text, pattern)
+    counted = tag_counts(tagged, [doc], fixed.RATIO_TAGS)
+    return counted.select(doc, *[ratio.alias(name) for name, ratio in _ratios().items()])
 
-    def n(tag: str) -> Column:
-        return F.col(f"`tag_{tag}`")
 
-    return counted.select(
-        doc,
-        _share(n("S"), n("V")).alias("noun2verb"),
-        _share(n("A"), n("S")).alias("adj2noun"),
-        _share(n("ADV"), n("V")).alias("adv2verb"),
-        _share(n("PR"), n("S")).alias("pr2noun"),
-        _share(n("CONJ"), n("S")).alias("conj2noun"),
-        _share(n("S-PRO") + n("A-PRO"), n("S")).alias("pron2noun"),
-        _share(n("V"), F.col("n_tagged_words")).alias("verb2word"),
-    )
+def attach_features(df: DataFrame, features: DataFrame, doc: str) -> DataFrame:
+    """Add feature columns to their rows, one to one by key."""
+    return df.join(features, doc)
 
 
 def text_stats(
@@ -75,12 +89,16 @@ def text_stats(
     pos: bool = True,
     pattern: str = fixed.CYRILLIC_WORD,
 ) -> DataFrame:
-    """The combined statistics: up to twenty columns per text."""
+    """The combined statistics: up to twenty columns per text.
+
+    Texts are read and tokenised once: the tag counts travel with the other,
+    already numeric statistics.
+    """
     if not (sent or tkn or pos):
         raise ValueError("at least one group of statistics must be switched on")
     if pos and lexicon is None:
         raise ValueError("part-of-speech statistics need a lexicon")
-    out = df
+    out = balanced(df.select(doc, text)) if pos else df
     if sent:
         out = sent_stats(out, text)
     if tkn or pos:
@@ -91,10 +109,14 @@ def text_stats(
         out = punct_to_word(out, "_tokens")
     else:
         out = out.withColumn("punct2word", F.lit(0.0))
-    out = out.drop("_tokens")
-    if pos:
-        out = out.join(pos_stats(df, lexicon, doc, text, pattern), doc)
-    return out
+    if not pos:
+        return out.drop("_tokens")
+    numbers = [c for c in out.columns if c not in (doc, text, "_tokens")]
+    rows = token_rows(out, F.col("_tokens"), [doc, *numbers], keep_empty=True)
+    tagged = with_lexicon(rows, lexicon, ["tag"]).withColumn("tag", T.brief_grammar("tag"))
+    counted = tag_counts(tagged, [doc], fixed.RATIO_TAGS, keep=numbers)
+    stats = counted.select(doc, *numbers, *[ratio.alias(name) for name, ratio in _ratios().items()])
+    return attach_features(df, stats, doc)
 
 
 def pos_shares_wide(

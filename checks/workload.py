@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from penprint.functions import fixed, text as T
 from penprint.operators import (
     bayes, catalogue, chunking, evaluate, inference, lexicon, neighbours, pos, profiles, recipes,
-    scale, splits, stats, terms, topics, usage,
+    scale, splits, stats, terms, topics, usage, vectors,
 )
 from penprint.sources.tables import read_table
 
@@ -299,8 +299,6 @@ def char_bigrams(spark, folder):
 @query
 def clip_p99(spark, folder):
     counted = stats.text_profile(scale.balanced(docs(spark, folder)))
-    from penprint.operators import vectors
-
     columns = ["n_chars_total", "word_count", "mean_word_length"]
     out = vectors.clip_upper(counted.select("doc_id", *columns), columns, 0.99)
     return out.select("doc_id", *[r6(c).alias(c) for c in columns])
@@ -510,8 +508,6 @@ def knn_embeddings(spark, folder):
 
 @query
 def class_weights(spark, folder):
-    from penprint.operators import vectors
-
     out = vectors.class_weights(docs(spark, folder), "lang")
     return out.select("lang", "n", r6("weight").alias("weight"))
 

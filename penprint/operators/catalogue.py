@@ -26,9 +26,13 @@ def unescape(c: Column | str) -> Column:
     def resolve(piece: Column) -> Column:
         decimal = F.regexp_extract(piece, r"^&#([0-9]{1,7});$", 1)
         hexa = F.regexp_extract(piece, r"^&#[xX]([0-9A-Fa-f]{1,6});$", 1)
-        code = F.when(decimal != "", F.hex(decimal.cast("bigint"))).when(hexa != "", hexa)
-        char = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
-        return F.coalesce(F.try_element_at(named, piece), char, piece)
+        code = F.coalesce(decimal.try_cast("bigint"), F.conv(hexa, 16, 10).try_cast("bigint"))
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "UTF-32")
+        numeric = (decimal != "") | (hexa != "")
+        return F.coalesce(
+            F.try_element_at(named, piece), F.when(numeric, F.coalesce(char, F.lit("\ufffd"))), piece
+        )
 
     return F.array_join(F.transform(pieces, resolve), "")
 
@@ -81,7 +85,7 @@ def page_key(url: Column | str) -> Column:
 def page_number(url: Column | str) -> Column:
     column = F.col(url) if isinstance(url, str) else url
     number = F.regexp_extract(column, r"[?&]page=([0-9]+)", 1)
-    return F.when(number == "", F.lit(1)).otherwise(number.cast("int"))
+    return F.coalesce(number.try_cast("int"), F.lit(1))
 
 
 def assemble_works(

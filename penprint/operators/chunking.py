@@ -5,18 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from penprint.functions import text as T
+from penprint.functions import fixed, text as T
 from penprint.operators.scale import balanced, unnest
 
 
 def split_author_prefix(df: DataFrame, value: str = "value") -> DataFrame:
     """First twelve characters are the author key, the rest is the text."""
-    from penprint.functions.fixed import PREFIX_LENGTH
-
     return df.withColumns(
         {
-            "target": F.substring(value, 1, PREFIX_LENGTH),
-            "text": F.expr(f"substring({value}, {PREFIX_LENGTH + 1})"),
+            "target": F.substring(value, 1, fixed.PREFIX_LENGTH),
+            "text": F.expr(f"substring({value}, {fixed.PREFIX_LENGTH + 1})"),
         }
     ).drop(value)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from penprint.functions import fixed
 from penprint.operators.pos import pos_shares_wide
 from penprint.operators.scale import exact_quantiles, settled
-from penprint.operators.stats import BASIC_STATS, basic_stats, sentence_rows, sentence_stats
+from penprint.operators.stats import BASIC_STATS, sentence_rows, sentence_stats
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
@@ -109,7 +109,3 @@ def confusion_wide(df: DataFrame, label: str, prediction: str, classes: Sequence
 def author_sentences(df: DataFrame, author: str, book: str, text: str = "text") -> DataFrame:
     """Sentence statistics of all books of an author: the author is a key column."""
     return sentence_stats(df.select(author, book, text), text)
-
-
-def author_basic_stats(df: DataFrame, **options) -> DataFrame:
-    return basic_stats(df, **options)

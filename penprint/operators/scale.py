@@ -81,7 +81,8 @@ def lookup_join(
     on = list(on)
     if fits_broadcast(table, max_rows):
         return big.join(F.broadcast(table), on, how)
-    salted = F.pmod(F.xxhash64(*(salt_on or big.columns)), F.lit(SALTS)).cast("int")
+    plain = [f.name for f in big.schema.fields if not isinstance(f.dataType, (ST.MapType, ST.UserDefinedType))]
+    salted = F.pmod(F.xxhash64(*(salt_on or plain)), F.lit(SALTS)).cast("int")
     repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return big.withColumn("_salt", salted).join(repeated, [*on, "_salt"], how).drop("_salt")
 

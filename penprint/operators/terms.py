@@ -36,8 +36,11 @@ def vector_tokens(c: Column | str, pattern: str = VECTOR_WORD) -> Column:
 def term_counts(
     df: DataFrame, doc: str, tokens: Column, n_min: int = 1, n_max: int = 1, keep: tuple = ()
 ) -> DataFrame:
-    """(doc, term, tf). The texts are partitioned by document while compact, so
-    counting per (doc, term) needs no shuffle of the exploded tokens."""
+    """(doc, term, tf); ``doc`` is the key of the texts, one row each.
+
+    The texts are partitioned by document while compact, so counting per
+    (doc, term) needs no shuffle of the exploded tokens.
+    """
     rows = df.repartition(doc).select(doc, *keep, tokens.alias("_t"))
     grams = unnest(rows, [doc, *keep], ngrams_of(F.col("_t"), n_min, n_max), "term")
     return grams.groupBy(doc, *keep, "term").agg(F.count("*").alias("tf"))

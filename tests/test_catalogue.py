@@ -11,9 +11,9 @@ PAGE = (
 
 
 def test_page_text(spark):
-    pages = spark.createDataFrame([(1, PAGE), (2, ""), (3, "<span class=\"p\">open &unknown; a < b")], "id int, html string")
+    pages = spark.createDataFrame([(1, PAGE), (2, ""), (3, "<span class=\"p\">open &unknown; a < b&#9999999;&#xD800;")], "id int, html string")
     rows = {r["id"]: r["text"] for r in catalogue.extract_page_text(pages).collect()}
-    assert rows == {1: "One twothree «4» жЖ5 &lt; 6", 2: "", 3: "open &unknown; a < b"}
+    assert rows == {1: "One twothree «4» жЖ5 &lt; 6", 2: "", 3: "open &unknown; a < b\ufffd\ufffd"}
 
 
 def test_assemble(spark):
@@ -26,7 +26,7 @@ def test_assemble(spark):
 
 
 def test_urls(spark):
-    df = spark.createDataFrame([("http://a.b/fr/12?page=3&x=1",), ("https://a.b/en/7/",), ("http://a.b/x",)], "u string")
+    df = spark.createDataFrame([("http://a.b/fr/12?page=3&x=1",), ("https://a.b/en/7/",), ("http://a.b/x?page=99999999999",)], "u string")
     got = [tuple(r) for r in df.select(catalogue.page_key("u"), catalogue.page_number("u")).collect()]
     assert got == [("fr/12", 3), ("en/7", 1), ("", 1)]
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from penprint.llm import mixing, records
+from penprint.llm import compression, mixing, records, toxicity, vectors
 
 QUERIES = {
     "op2_records": records.op2_records,
     "op4_mix": mixing.op4_mix,
+    "op5_quality": compression.op5_quality,
+    "op9_toxicity": toxicity.op9_toxicity,
+    "op10_vectors": vectors.op10_vectors,
 }
 
 ORACLES = {

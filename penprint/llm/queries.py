@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from penprint.llm import compression, mixing, records, toxicity, vectors
+from penprint.llm import compression, mixing, near, records, toxicity, vectors
 
 QUERIES = {
     "op2_records": records.op2_records,
     "op4_mix": mixing.op4_mix,
     "op5_quality": compression.op5_quality,
+    "op6_near": near.op6_near,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_vectors": vectors.op10_vectors,
 }

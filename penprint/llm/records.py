@@ -25,11 +25,12 @@ from pyspark.sql import functions as F
 from penprint.llm.common import bounded, shared_folder
 
 END = 0
-CACHE = 800_000
+CACHE = 1_500_000  # pieces whose ids a worker keeps, about 0.3 GB
 MANIFEST = "part int, file string, docs bigint, tokens bigint, bytes bigint"
 
 HEAD, FRAME, INDEX = "<qBB", "<QI", "<qqq"  # of a payload, a frame, an index entry
 ODD, CUT = re.compile(r" (?!\S)"), re.compile(r" (?=\S)")
+LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-@\[-`{-~].*)", re.DOTALL)  # a run of letters ends before these marks for any tokenizer of this kind
 
 
 def masked(data: bytes) -> int:
@@ -75,14 +76,30 @@ class Encoder:
         line = self.ids(["\n"])[0] if self.pieced else ()
         self.line = line[0] if len(line) == 1 else None
         self.seen: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+        self.latest: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, pieces: list[str]) -> None:
-        """Keep the ids of new pieces, encoded with the space in front of them."""
+        """Encode new pieces with the space in front of them, letters and what follows them apart, and keep their ids."""
         if len(self.seen) + len(pieces) > CACHE:
             self.seen.clear()
+            self.tails.clear()
+        split = [(p, *m.groups()) for p in pieces if (m := LETTERS.fullmatch(p))] if self.line is not None else []
+        tails = list({tail for _, _, tail in split if tail not in self.tails})
+        self.tails.update((t, np.array(i, self.kind).tobytes()) for t, i in zip(tails, self.ids(tails)))
+        plain = set(pieces).difference([p for p, _, _ in split])
+        words = {word for _, word, _ in split if word not in self.seen}
+        self.latest = self.whole(list(plain | words))
+        self.seen.update(self.latest)
+        for piece, word, tail in split:
+            self.latest[piece] = self.seen[word] + self.tails[tail]
+        self.seen.update(self.latest)
+
+    def whole(self, pieces: list[str]) -> dict[str, bytes]:
+        out: dict[str, bytes] = {}
         plain = [p for p in pieces if self.line is not None and "\n" not in p and ODD.search(" " + p) is None]
         for k in range(0, len(plain), 500):  # many pieces in one call, one on each line
             part = plain[k : k + 500]
@@ -91,29 +108,28 @@ class Encoder:
             if len(ends) != len(part) - 1:
                 raise ValueError("the tokenizer joins words across lines")
             size = self.kind.itemsize
-            data, bounds = ids.tobytes(), [0, *(ends * size).tolist(), len(ids) * size]
-            for i, piece in enumerate(part):
-                self.seen[piece] = data[bounds[i] + size * (i > 0) : bounds[i + 1]]
-        rest = pieces if self.line is None else set(pieces).difference(plain)
-        for piece, ids in zip(rest, self.ids([" " + p for p in rest])):
-            self.seen[piece] = np.array(ids, self.kind).tobytes()
+            data, bounds = ids.tobytes(), [0, *((ends + 1) * size).tolist(), len(ids) * size + size]
+            out.update((piece, data[bounds[i] : bounds[i + 1] - size]) for i, piece in enumerate(part))
+        if len(plain) < len(pieces):
+            rest = list(set(pieces).difference(plain))
+            out.update((p, np.array(i, self.kind).tobytes()) for p, i in zip(rest, self.ids([" " + p for p in rest])))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.pieced:
             return [np.array(i, self.kind).tobytes() for i in self.ids(texts)]
         cut = [text.split(" ") if ODD.search(text) is None else CUT.split(text) for text in texts]
-        first = [np.array(i, self.kind).tobytes() for i in self.ids([pieces[0] for pieces in cut])]
-        wanted: set[str] = set()
-        for pieces in cut:
-            wanted.update(pieces[1:])
-        missing = [p for p in wanted if p not in self.seen]
-        if len(self.seen) + len(missing) > CACHE:
-            self.seen.clear()
-            missing = list(wanted)
+        first = [np.array(i, self.kind).tobytes() for i in self.ids([pieces.pop(0) for pieces in cut])]
+        get = self.seen.get
+        found = [list(map(get, pieces)) for pieces in cut]
+        gaps = [i for i, ids in enumerate(found) if None in ids]
+        missing = list({p for i in gaps for p, x in zip(cut[i], found[i]) if x is None})
         if missing:
             self.learn(missing)
-        get = self.seen.__getitem__
-        return [head + b"".join(map(get, pieces[1:])) for head, pieces in zip(first, cut)]
+            new = self.latest
+            for i in gaps:
+                found[i] = [new[p] if x is None else x for p, x in zip(cut[i], found[i])]
+        return [head + b"".join(ids) for head, ids in zip(first, found)]
 
 
 _encoders: dict[int, Encoder] = {}

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from penprint.llm import compression, mixing, near, pitman_yor, records, toxicity, vectors
+from penprint.llm import compression, decontaminate, mixing, near, pitman_yor, records, toxicity, vectors
 
 QUERIES = {
     "op2_records": records.op2_records,
     "op4_mix": mixing.op4_mix,
     "op5_quality": compression.op5_quality,
     "op6_near": near.op6_near,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_pitman_yor": pitman_yor.op8_pitman_yor,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_vectors": vectors.op10_vectors,

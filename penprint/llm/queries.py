@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from penprint.llm import compression, decontaminate, mixing, near, pitman_yor, records, toxicity, vectors
+from penprint.llm import compression, decontaminate, mixing, near, pages, pitman_yor, records, toxicity, vectors
 
 QUERIES = {
+    "op1_pages": pages.op1_pages,
     "op2_records": records.op2_records,
     "op4_mix": mixing.op4_mix,
     "op5_quality": compression.op5_quality,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from penprint.llm import compression, decontaminate, mixing, near, pages, pitman_yor, records, toxicity, vectors
+from penprint.llm import compression, decontaminate, mixing, near, pages, pitman_yor, records, revisits, toxicity, vectors
 
 QUERIES = {
     "op1_pages": pages.op1_pages,
     "op2_records": records.op2_records,
+    "op3_revisits": revisits.op3_revisits,
     "op4_mix": mixing.op4_mix,
     "op5_quality": compression.op5_quality,
     "op6_near": near.op6_near,
@@ -17,5 +18,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_revisits": revisits.SQL,
     "op4_mix": mixing.SQL,
 }

@@ -276,8 +276,8 @@ def near_duplicates(docs: DataFrame, identity: str = "doc_id") -> DataFrame:
     component = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id"))
     out = out.select("id", "n_shingles", component.alias("component_id"))
     if doubled:
-        least = out.groupBy("id").agg(F.min("component_id").alias("component_id"))
-        out = out.drop("component_id").join(least, out["id"].eqNullSafe(least["id"])).select(out["id"], "n_shingles", "component_id")
+        least = out.where("id is not null").groupBy("id").agg(F.min("component_id").alias("component_id"))
+        out = out.drop("component_id").join(least, "id", "left")
     return out.withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
 
 

@@ -266,7 +266,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, identity: str
             F.coalesce("component", "id").alias("component_id"),
         )
     )
-    members = lookup_join(rows.select("id", "label", "width", "digest"), written(known, "vector-classes"), ["label", "width", "digest"], salt_on=["id"])
+    members = lookup_join(rows.select("id", "label", "width", "digest").distinct(), written(known, "vector-classes"), ["label", "width", "digest"], salt_on=["id"])
     per_id = members.groupBy("id").agg(F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     per_id = per_id.select(F.col("id").alias("_id"), "n_links", "component_id")
     taken = [c for c in vectors.columns if c not in ("n_links", "component_id", "kept")]

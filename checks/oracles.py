@@ -649,9 +649,6 @@ SELECT strftime(time_bucket(INTERVAL '30 seconds', ts), '%Y-%m-%d %H:%M:%S') AS
   count(*) FILTER (WHERE event_type = 'purchase') AS n_ratings,
   CAST(coalesce(sum(1 + CAST(floor(value) AS BIGINT) % 5) FILTER (WHERE event_type = 'purchase'), 0) AS BIGINT) AS sum_ratings
 FROM events GROUP BY 1"""
-ORACLES["new_user_stream"] = """
-SELECT DISTINCT user_id, event_type FROM events WHERE event_type = 'signup'"""
-ORACLES["user_counter_stream"] = """
-SELECT user_id, count(*) FILTER (WHERE event_type IN ('click', 'view')) AS requests,
-  CAST(arg_max(1 + CAST(floor(value) AS BIGINT) % 5, (ts, event_id)) FILTER (WHERE event_type = 'purchase') AS INTEGER) AS rating
-FROM events GROUP BY user_id"""
+ORACLES["new_user_stream"] = ORACLES["registered_users"]
+ORACLES["user_counter_stream"] = f"""
+WITH {USERS} SELECT user_id AS id, requests, rating FROM requests JOIN ratings USING (user_id)"""

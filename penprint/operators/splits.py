@@ -8,11 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from penprint.operators.scale import (
-    fits_broadcast, hash_cutoffs, hash_order, lookup_join, settled, size_then_hash_rank,
+    hash_cutoffs, hash_order, lookup_join, settled, size_then_hash_rank,
 )
 
-MAX_CLASSES = 100_000
-
 
 def _with_cutoffs(df: DataFrame, label: str, doc: str, ranks: Column, seed: int) -> DataFrame:
     """Rows with their hash ``_h`` and the array ``_cuts`` of their class."""
@@ -23,9 +21,7 @@ def _with_cutoffs(df: DataFrame, label: str, doc: str, ranks: Column, seed: int)
             F.map_from_entries(F.collect_list(F.struct("slot", "cutoff"))).alias("_cuts")
         )
     )
-    if not fits_broadcast(per_class, MAX_CLASSES):
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    return hashed.join(F.broadcast(per_class), label, "left")
+    return lookup_join(hashed, per_class, [label], "left", salt_on=["_h"])
 
 
 def balance_classes(df: DataFrame, label: str, doc: str, seed: int = 42) -> DataFrame:

@@ -19,9 +19,9 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from penprint.operators.scale import exact_quantiles, fits_broadcast
+from penprint.operators.scale import exact_quantiles, lookup_join, settled
 
-MAX_CLASSES = 100_000
+EVERY_TERM = 2**31 - 1
 
 
 def clip_upper(df: DataFrame, columns: Sequence[str], q: float = 0.99, width: float = 1.0) -> DataFrame:
@@ -46,9 +46,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     weights = class_weights(df, label).select(label, F.col("weight").alias(out))
-    if not fits_broadcast(weights, MAX_CLASSES):
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    return df.join(F.broadcast(weights), label)
+    return lookup_join(df, settled(weights), [label])
 
 
 def assemble(columns: Sequence[str], out: str = "features") -> VectorAssembler:
@@ -93,14 +91,28 @@ class SmoothIdf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, Def
         )
 
 
-def count_stage(tokens: str, out: str, min_df: float, max_df: float, size: int) -> CountVectorizer:
-    return CountVectorizer(inputCol=tokens, outputCol=out, minDF=min_df, maxDF=max_df, vocabSize=size)
+def count_stage(
+    tokens: str, out: str, min_df: float = 1, max_df: float = 1.0, size: int | None = None, n_docs: int = 1
+) -> CountVectorizer:
+    """Term counts. Whole numbers of ``min_df`` and ``max_df`` count documents, fractions up to 1.0 are shares.
+
+    A largest share of 1.0 keeps every term, and a smallest of 1.0 those of all ``n_docs`` documents; Spark reads 1.0
+    as one document. Without a size the vocabulary has no limit.
+    """
+    limits = {}
+    if not (isinstance(max_df, float) and max_df >= 1.0):
+        limits["maxDF"] = float(max_df)
+    whole = isinstance(min_df, float) and min_df == 1.0
+    limits["minDF"] = float(n_docs if whole else min_df)
+    return CountVectorizer(inputCol=tokens, outputCol=out, vocabSize=size or EVERY_TERM, **limits)
 
 
-def tfidf_stages(tokens: str, out: str, min_df: float, max_df: float, size: int) -> list:
+def tfidf_stages(
+    tokens: str, out: str, min_df: float = 1, max_df: float = 1.0, size: int | None = None, n_docs: int = 1
+) -> list:
     """Counts, smoothed idf, L2 norm."""
     return [
-        count_stage(tokens, f"{out}_tf", min_df, max_df, size),
+        count_stage(tokens, f"{out}_tf", min_df, max_df, size, n_docs),
         SmoothIdf(inputCol=f"{out}_tf", outputCol=f"{out}_w"),
         Normalizer(inputCol=f"{out}_w", outputCol=out, p=2.0),
     ]

@@ -6,6 +6,7 @@ per component; ``make_classifier`` turns one draw into a Spark ML pipeline.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -71,9 +72,7 @@ FOREST_RANGES = {
 
 REDUCED = {"KNN", "RF"}
 PLAIN_STATS = {"KNN"}
-WIDE_VOCABULARY = 1 << 18
-SVD_VOCABULARY = 4096
-MAX_TREE_DEPTH = 30
+MAX_TREE_DEPTH = 30  # of Spark's trees
 
 
 @dataclass(frozen=True)
@@ -163,7 +162,7 @@ class CosineKnnModel(Model, HasFeaturesCol, HasLabelCol, HasPredictionCol):
             self.train, self.owner._vectors(dataset), get("k"), get("weights"), id_col=key, skip_self=False
         )
         prediction = F.col("prediction").cast("double").alias(self.owner.getPredictionCol())
-        return dataset.join(found.select(F.col("id").alias(key), prediction), key)
+        return dataset.join(found.select(F.col("id").alias(key), prediction), key, "left")
 
 
 def _estimator(kind: str, params: dict, n_rows: int, label: str, doc: str) -> list:
@@ -202,6 +201,8 @@ def _estimator(kind: str, params: dict, n_rows: int, label: str, doc: str) -> li
 
 def forest(params: dict, **common) -> RandomForestClassifier:
     depth = params.get("max_depth") or MAX_TREE_DEPTH
+    if depth > MAX_TREE_DEPTH:
+        warnings.warn(f"trees stop at depth {MAX_TREE_DEPTH}, {depth} was asked for", stacklevel=2)
     criterion = params.get("criterion", "gini")
     return RandomForestClassifier(
         numTrees=params.get("n_estimators", 100),
@@ -214,18 +215,17 @@ def forest(params: dict, **common) -> RandomForestClassifier:
     )
 
 
-def embedding_stages(spec: ClassifierSpec, step: dict, out: str) -> list:
+def embedding_stages(spec: ClassifierSpec, step: dict, out: str, n_rows: int = 1) -> list:
     """N-grams of the tokens, counts or TF-IDF, and the SVD of the reduced kinds."""
     vec = step["vectorizer"]
     low, high = vec.get("ngram_range", (1, 1))
-    size = vec.get("max_features") or (SVD_VOCABULARY if spec.reduced else WIDE_VOCABULARY)
-    min_df, max_df = float(vec.get("min_df", 1)), vec.get("max_df", 1.0)
+    size, min_df, max_df = vec.get("max_features"), vec.get("min_df", 1), vec.get("max_df", 1.0)
     wide = f"{out}_wide" if spec.reduced else out
     stages: list = [NgramRange(inputCol="tokens", outputCol="grams", nMin=low, nMax=high)]
     if spec.embedding == "TF-IDF":
-        stages += tfidf_stages("grams", wide, min_df, max_df, size)
+        stages += tfidf_stages("grams", wide, min_df, max_df, size, n_rows)
     else:
-        stages.append(count_stage("grams", wide, min_df, max_df, size))
+        stages.append(count_stage("grams", wide, min_df, max_df, size, n_rows))
     if spec.reduced:
         stages.append(TruncatedSvd(inputCol=wide, outputCol=out, k=step["svd"].get("n_components", 100)))
     return [*stages, LearnedSize(inputCol=out)]
@@ -258,7 +258,7 @@ def make_stages(
             lexiconPath=inputs.lexicon_path, idCol=inputs.doc,
         ),
     ]
-    learned = embedding_stages(spec, step, "embed")
+    learned = embedding_stages(spec, step, "embed", n_rows)
     if spec.poly:
         learned += [poly2("stats", "stats_poly"), LearnedSize(inputCol="stats_poly")]
     learned += [

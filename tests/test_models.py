@@ -144,17 +144,26 @@ def test_topics(spark, small):
     assert len(odd) == 1 and odd != {r["topic"] for r in found if not r["doc"] % 2}
 
 
+def test_timely_windows(spark, small, tmp_path):
+    """With a delay the windows are kept in the stream's state."""
+    events = stream_usage.event_stream(spark, small, "events.parquet")
+    paths = str(tmp_path / "out"), str(tmp_path / "state")
+    stream_usage.write_updates(stream_usage.timely_windows(events, "40 days"), *paths, every=None).awaitTermination()
+    found = stream_usage.latest(spark, paths[0], "window_start").agg(F.sum("n_signups")).first()[0]
+    assert found == read_table(spark, small, "events").where("event_type = 'signup'").count()
+
+
 def test_usage_stream_resumes(spark, small, tmp_path):
-    """Files that arrive later update the windows already written."""
+    """Files that arrive later, with earlier events too, add to the windows already written."""
     events = read_table(spark, small, "events").orderBy("ts")
     folder, out, state = (str(tmp_path / p) for p in ("in", "out", "state"))
     os.mkdir(folder)
     n = events.count() // 2
-    halves = [events.limit(n), events.exceptAll(events.limit(n))]
+    halves = [events.exceptAll(events.limit(n)), events.limit(n)]  # the later half first
     for half in halves:
         half.coalesce(1).write.mode("append").parquet(folder)
-        stream = stream_usage.usage_windows(stream_usage.event_stream(spark, folder), "30 seconds", "40 days")
-        stream_usage.write_updates(stream, out, state, every=None).awaitTermination()
-    found = stream_usage.latest(spark, out, "window_start").agg(F.sum("n_signups"), F.sum("n_requests"), F.sum("n_ratings")).first()
+        stream = stream_usage.event_stream(spark, folder)
+        stream_usage.write_parts(stream, stream_usage.usage_windows("30 seconds"), out, state, every=None).awaitTermination()
+    found = stream_usage.read_windows(spark, out).agg(F.sum("n_signups"), F.sum("n_requests"), F.sum("n_ratings")).first()
     kinds = {r["event_type"]: r["count"] for r in events.groupBy("event_type").count().collect()}
     assert tuple(found) == (kinds["signup"], kinds["click"] + kinds["view"], kinds["purchase"])

@@ -129,11 +129,15 @@ WITH {PAGE_TEXT},
 placed AS (
   SELECT {PAGE_KEY} AS work, page_id, text,
          coalesce(TRY_CAST(regexp_extract(url, '[?&]page=([0-9]+)', 1) AS INTEGER), 1) AS page
-  FROM texts),
-cut AS (
-  SELECT *, CAST((row_number() OVER (PARTITION BY work ORDER BY page, page_id) - 1) // 256 AS INTEGER) AS part FROM placed)
-SELECT work, part, string_agg(text, '' ORDER BY page, page_id) AS text, count(*) AS n_pages
-FROM cut GROUP BY work, part"""
+  FROM texts)
+SELECT work, string_agg(text, '' ORDER BY page, page_id) AS text, count(*) AS n_pages FROM placed GROUP BY work"""
+ORACLES["ordered_pages"] = rf"""
+WITH {PAGE_TEXT},
+placed AS (
+  SELECT {PAGE_KEY} AS work, page_id, text,
+         coalesce(TRY_CAST(regexp_extract(url, '[?&]page=([0-9]+)', 1) AS INTEGER), 1) AS page
+  FROM texts)
+SELECT work, row_number() OVER (PARTITION BY work ORDER BY page, page_id) - 1 AS place, text FROM placed"""
 
 ORACLES["plan_titles"] = f"""
 SELECT title, title IN (SELECT lang || '/' || CAST(doc_id AS VARCHAR) FROM documents) AS known
@@ -355,7 +359,7 @@ CORPUS = """
 tf AS (SELECT doc_id, term, count(*) AS tf FROM grams GROUP BY doc_id, term),
 dfs AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS total FROM tf GROUP BY term)"""
 ORACLES["ngram_counts"] = f"""
-WITH {grams(VECTOR_WORDS, "documents", 1, 3)}, {CORPUS} SELECT term, df, total FROM dfs WHERE df >= 2"""
+WITH {grams(VECTOR_WORDS, "documents", 1, 3)}, {CORPUS} SELECT term, df, total FROM dfs"""
 ORACLES["bow_filtered"] = f"""
 WITH {grams(VECTOR_WORDS, "documents", 1, 1)}, {CORPUS}
 SELECT term, doc_id, tf, df FROM tf JOIN dfs USING (term)

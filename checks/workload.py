@@ -79,6 +79,11 @@ def assemble_works(spark, folder):
     return catalogue.assemble_works(_works(spark, folder), "work", "page", "page_id")
 
 
+@query
+def ordered_pages(spark, folder):
+    return catalogue.ordered_pages(_works(spark, folder), "work", "page", "page_id")
+
+
 @query
 def plan_titles(spark, folder):
     tasks = read_table(spark, folder, "pages").select(catalogue.page_key("url").alias("title"))
@@ -257,8 +262,7 @@ def pos_examples(spark, folder):
 
 @query
 def ngram_counts(spark, folder):
-    out = terms.corpus_ngrams(docs(spark, folder), "doc_id", terms.vector_tokens("text"), 1, 3)
-    return out.where(F.col("df") >= 2)
+    return terms.corpus_ngrams(docs(spark, folder), "doc_id", terms.vector_tokens("text"), 1, 3)
 
 
 def _counts(spark, folder, **options):

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from html.entities import html5
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from penprint.functions import text as T
 from penprint.operators.scale import balanced, dense_ids, lookup_join, running_totals, settled
 
-# Named character references of the pages.
+# The most frequent named character references, looked up first.
 ENTITIES = {
     "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ",
     "copy": "©", "middot": "·", "laquo": "«", "raquo": "»", "mdash": "—", "ndash": "–",
@@ -18,21 +20,26 @@ ENTITIES = {
 
 
 def unescape(c: Column | str) -> Column:
-    """Resolve named and numeric character references."""
+    """Resolve named (all of HTML 5) and numeric character references that end with a semicolon."""
     column = F.col(c) if isinstance(c, str) else c
-    pieces = T.extract_all(column, r"&#?[A-Za-z0-9]{1,31};|[^&]+|&")
-    named = F.create_map(*[F.lit(x) for k, v in ENTITIES.items() for x in (f"&{k};", v)])
+    pieces = T.extract_all(column, r"&#?[A-Za-z0-9]+;|[^&]+|&")
+    often = F.create_map(*[F.lit(x) for k, v in ENTITIES.items() for x in (f"&{k};", v)])
+    named = F.create_map(*[F.lit(x) for k, v in html5.items() if k.endswith(";") for x in (f"&{k}", v)])
 
     def resolve(piece: Column) -> Column:
-        decimal = F.regexp_extract(piece, r"^&#([0-9]{1,7});$", 1)
-        hexa = F.regexp_extract(piece, r"^&#[xX]([0-9A-Fa-f]{1,6});$", 1)
+        decimal = F.regexp_extract(piece, r"^&#([0-9]+);$", 1)
+        hexa = F.regexp_extract(piece, r"^&#[xX]([0-9A-Fa-f]+);$", 1)
         code = F.coalesce(decimal.try_cast("bigint"), F.conv(hexa, 16, 10).try_cast("bigint"))
         valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "UTF-32")
         numeric = (decimal != "") | (hexa != "")
-        return F.coalesce(
-            F.try_element_at(named, piece), F.when(numeric, F.coalesce(char, F.lit("\ufffd"))), piece
+        reference = F.coalesce(
+            F.try_element_at(often, piece),
+            F.when(numeric, F.coalesce(char, F.lit("\ufffd"))),
+            F.try_element_at(named, piece),
+            piece,
         )
+        return F.when(piece.startswith("&") & (piece != "&"), reference).otherwise(piece)
 
     return F.array_join(F.transform(pieces, resolve), "")
 
@@ -88,27 +95,38 @@ def page_number(url: Column | str) -> Column:
     return F.coalesce(number.try_cast("int"), F.lit(1))
 
 
-def assemble_works(
-    pages: DataFrame, work: str, page: str, tie: str, text: str = "text", block: int = 256
-) -> DataFrame:
-    """Join the pages of a work in page order: (work, part, text, n_pages).
+def ordered_pages(pages: DataFrame, work: str, page: str, tie: str, text: str = "text") -> DataFrame:
+    """(work, place, text): the pages of every work in order, from place 0; for works too long to be one string.
 
-    A work of up to ``block`` pages is one row. A longer one comes as numbered
-    parts of ``block`` pages, so no task has to hold all pages of a key that owns
-    a large share of them. Places within a work come from running totals over
-    range-partitioned keys, not from one window per work.
+    Places come from running totals over range-partitioned keys, not from one window per work.
     """
     placed = running_totals(pages.select(work, page, tie), [work, page, tie], {"_at": F.lit(1)})
     placed = settled(placed)
     starts = placed.groupBy(work).agg(F.min("_at").alias("_from"))
-    parts = lookup_join(placed, settled(starts), [work], salt_on=[page, tie]).select(
-        tie, (F.col("_at") - F.col("_from")).alias("_at")
+    places = lookup_join(placed, settled(starts), [work], salt_on=[page, tie]).select(
+        tie, (F.col("_at") - F.col("_from")).cast("bigint").alias("place")
     )
-    part = F.floor(F.col("_at") / F.lit(block)).cast("int")
-    pair = F.struct("_at", F.col(text).alias("v"))
-    joined = F.transform(F.array_sort(F.collect_list(pair)), lambda p: p["v"])
-    rows = pages.select(work, tie, text).join(parts, tie).withColumn("part", part)
-    return rows.groupBy(work, "part").agg(F.array_join(joined, "").alias(text), F.count("*").alias("n_pages"))
+    return pages.select(work, tie, text).join(places, tie).select(work, "place", text)
+
+
+def assemble_works(
+    pages: DataFrame, work: str, page: str, tie: str, text: str = "text", block: int = 256
+) -> DataFrame:
+    """Join the pages of a work in page order: (work, text, n_pages), one row per work.
+
+    Blocks of ``block`` pages are joined first, spread over tasks, then the few block texts of a work in order;
+    ``block`` steers the balance, never the result. A null text counts as empty. A work longer than the largest string
+    is served by ``ordered_pages``.
+    """
+    rows = ordered_pages(pages, work, page, tie, text)
+    step = F.floor(F.col("place") / F.lit(block)).alias("_block")
+
+    def joined(order: str) -> Column:
+        pair = F.struct(order, F.coalesce(text, F.lit("")).alias("v"))
+        return F.array_join(F.transform(F.array_sort(F.collect_list(pair)), lambda p: p["v"]), "").alias(text)
+
+    blocks = rows.groupBy(work, step).agg(joined("place"), F.count("*").alias("n"))
+    return blocks.groupBy(work).agg(joined("_block"), F.sum("n").alias("n_pages"))
 
 
 def plan_titles(tasks: DataFrame, found: DataFrame, title: str = "title") -> DataFrame:
@@ -140,10 +158,7 @@ def assign_author_ids(works: DataFrame, author: str, order: str) -> DataFrame:
 
 def encode_labels(df: DataFrame, label: str, out: str = "label_id") -> DataFrame:
     """Number the label values in alphabetical order, starting at zero."""
-    values = df.select(label).distinct()
-    codes = values.withColumn(
-        out, (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(label)) - 1).cast("int")
-    )
+    codes = dense_ids(df.select(label).distinct(), [label], out)
     return lookup_join(df, settled(codes), [label], salt_on=df.columns)
 
 

@@ -20,9 +20,20 @@ def test_assemble(spark):
     rows = [("w", i, 1000 + i, f"[{i}]") for i in range(600)] + [("v", 2, 5, "b"), ("v", 1, 9, "a")]
     pages = spark.createDataFrame(rows, "work string, page int, id int, text string").repartition(7)
     found = catalogue.assemble_works(pages, "work", "page", "id").collect()
-    got = {(r["work"], r["part"]): (r["text"], r["n_pages"]) for r in found}
-    assert got[("v", 0)] == ("ab", 2) and [got[("w", i)][1] for i in range(3)] == [256, 256, 88]
-    assert "".join(got[("w", i)][0] for i in range(3)) == "".join(f"[{i}]" for i in range(600))
+    got = {r["work"]: (r["text"], r["n_pages"]) for r in found}
+    assert got == {"v": ("ab", 2), "w": ("".join(f"[{i}]" for i in range(600)), 600)}
+    small = catalogue.assemble_works(pages, "work", "page", "id", block=7).collect()
+    assert {r["work"]: (r["text"], r["n_pages"]) for r in small} == got
+    places = catalogue.ordered_pages(pages, "work", "page", "id").where("work = 'w'").orderBy("place").collect()
+    assert [(r["place"], r["text"]) for r in places] == [(i, f"[{i}]") for i in range(600)]
+
+
+def test_character_references(one):
+    for given, want in [
+        ("caf&eacute; &euro;5 &ouml;", "café €5 ö"), ("&CounterClockwiseContourIntegral;", "∳"), ("&bne; &nosuch; & &;", "=⃥ &nosuch; & &;"),
+        ("&#0000000065;&#x0000041;&#99999999999999999999;", "AA\ufffd"), ("&amp;lt;", "&lt;"),
+    ]:
+        assert one(given, catalogue.unescape) == want
 
 
 def test_urls(spark):

@@ -72,19 +72,20 @@ def test_save_load_score_and_stream(spark, table, tmp_path):
     after = {r["doc_id"]: r["prediction"] for r in again.transform(table).select("doc_id", "prediction").collect()}
     assert before == after
 
-    texts = table.select("text").limit(10).coalesce(1)
+    texts = table.select("doc_id", "text", F.lit("kept").alias("note")).orderBy("doc_id").limit(10).coalesce(1)
     books.write_corpus(texts, str(tmp_path / "in"))
     books.score_csv(spark, str(tmp_path / "in"), str(tmp_path / "out"), again)
     scored = spark.read.csv(str(tmp_path / "out"), header=True, multiLine=True, escape='"')
-    assert scored.columns == ["text", "author"] and scored.count() == 10
-    assert {r["author"] for r in scored.collect()} <= set(fixed.AUTHOR_NAMES.values())
+    assert scored.columns == ["doc_id", "text", "note", "author"] and scored.count() == 10
+    names = jobs.score(texts, again, ["doc_id"])
+    assert {r["doc_id"]: r["author"] for r in scored.collect()} == {str(r["doc_id"]): r["name"] for r in names.collect()}
 
     batch = jobs.score(table, again, ["doc_id"])
     table.select("doc_id", "text").repartition(3).write.parquet(str(tmp_path / "arriving"))
     stream = scoring.text_stream(spark, str(tmp_path / "arriving"), "doc_id bigint, text string", "parquet", "*.parquet")
     run = scoring.score_stream(stream, again, ["doc_id"], str(tmp_path / "rows"), str(tmp_path / "state"), every=None)
     run.awaitTermination()
-    streamed = spark.read.parquet(str(tmp_path / "rows"))
+    streamed = scoring.read_scored(spark, str(tmp_path / "rows"))
     assert streamed.count() == batch.count() and streamed.exceptAll(batch).isEmpty()
     assert batch.where(~F.col("label").between(-1, 9)).isEmpty()
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Transformer
+from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.feature import (
     IDF, PCA, CountVectorizer, ElementwiseProduct, Normalizer, PCAModel, PolynomialExpansion,
     StandardScaler, VectorAssembler,
@@ -15,7 +16,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, HasSeed
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (
+    DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable,
+    MLWriter,
+)
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,31 +122,137 @@ def tfidf_stages(
     ]
 
 
-class TruncatedSvd(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+class TableWriter(MLWriter):
+    """Saves a fitted stage as Parquet: its parameters and one table."""
+
+    def __init__(self, stage):
+        super().__init__()
+        self.stage = stage
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.stage, path, self.sc, paramMap=None)
+        self.stage.table(self.sparkSession).write.parquet(f"{path}/table")
+
+
+class TableReader(MLReader):
+    """Loads a stage from its parameters and its table."""
+
+    def __init__(self, kind):
+        super().__init__()
+        self.kind = kind
+
+    def load(self, path: str):
+        metadata = DefaultParamsReader.loadMetadata(path, self.sc)
+        stage = self.kind.from_table(self.sparkSession.read.parquet(f"{path}/table"))
+        stage._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(stage, metadata)
+        return stage
+
+
+def products(df: DataFrame, source: str, factors: np.ndarray) -> np.ndarray:
+    """``X' (X B)`` summed over the rows of a vector column; only non-zero entries count.
+
+    Every task adds up its rows; the sums meet by blocks of 4096 input columns. What comes to the driver has the size
+    of ``factors``, the input width times the number of components.
+    """
+    width, k = factors.shape
+    shared = df.sparkSession.sparkContext.broadcast(factors)
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((width, k))
+        for batch in batches:
+            for kind, indices, values in zip(batch["type"], batch["indices"], batch["values"]):
+                at = slice(None) if kind == 1 else np.asarray(indices, np.int64)
+                x = np.asarray(values, np.float64)
+                total[at] += np.outer(x, x @ shared.value[at])
+        for low in range(0, width, 4096):
+            part = total[low : low + 4096]
+            if part.any():
+                yield pd.DataFrame({"low": [low], "sums": [part.ravel().tolist()]})
+
+    def meet(key, parts: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"low": [key[0]], "sums": [np.sum(np.stack(parts["sums"].to_list()), axis=0).tolist()]})
+
+    kind = "low int, sums array<double>"
+    rows = df.select(F.unwrap_udt(source).alias("v")).select("v.type", "v.indices", "v.values")
+    out = np.zeros((width, k))
+    for row in rows.mapInPandas(add, kind).groupBy("low").applyInPandas(meet, kind).collect():
+        part = np.array(row["sums"]).reshape(-1, k)
+        out[row["low"] : row["low"] + len(part)] = part
+    shared.destroy()
+    return out
+
+
+class TruncatedSvd(Estimator, HasInputCol, HasOutputCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):
     """Projection on the leading right singular vectors, without centring.
 
-    Principal components of the rows together with their negatives have mean
-    zero, so they are the singular vectors; the fitted model is Spark's own.
-    The input width bounds the matrix on the driver, so cap the vocabulary.
+    Block power iteration from random directions: a few more than wanted are multiplied by the rows and their
+    transpose and made orthogonal again. Nothing of the size of the input width squared is built.
     """
 
     k = Param(Params._dummy(), "k", "components", TypeConverters.toInt)
+    rounds = Param(Params._dummy(), "rounds", "power iterations", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, inputCol="embed", outputCol="reduced", k=100):
+    def __init__(self, *, inputCol="embed", outputCol="reduced", k=100, rounds=6, seed=42):
         super().__init__()
-        self._setDefault(inputCol="embed", outputCol="reduced", k=100)
+        self._setDefault(inputCol="embed", outputCol="reduced", k=100, rounds=6, seed=42)
         self._set(**self._input_kwargs)
 
-    def _fit(self, dataset: DataFrame) -> PCAModel:
-        source = self.getInputCol()
+    def _fit(self, dataset: DataFrame) -> SvdModel:
+        source, k = self.getInputCol(), self.getOrDefault("k")
         rows = dataset.select(source)
-        width = rows.first()[source].size
-        mirror = ElementwiseProduct(
-            scalingVec=Vectors.dense([-1.0] * width), inputCol=source, outputCol="_mirror"
-        )
-        both = rows.union(mirror.transform(rows).select("_mirror"))
-        return PCA(k=min(self.getOrDefault("k"), width), inputCol=source, outputCol=self.getOutputCol()).fit(both)
+        first = rows.first()
+        width = first[source].size if first else 0
+        size = min(k + 10, width)
+        basis = np.linalg.qr(np.random.default_rng(self.getSeed()).normal(size=(width, size)))[0]
+        for _ in range(self.getOrDefault("rounds")):
+            basis = np.linalg.qr(products(rows, source, basis))[0]
+        image = products(rows, source, basis)
+        values, turn = np.linalg.eigh(basis.T @ image)
+        order = np.argsort(-values, kind="stable")[: min(k, width)]
+        vectors = basis @ turn[:, order]
+        signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(vectors.shape[1])]) if vectors.size else 1.0
+        model = SvdModel(vectors * signs, np.sqrt(np.maximum(values[order], 0.0)))
+        return self._copyValues(model)
+
+
+class SvdModel(Model, HasInputCol, HasOutputCol, MLWritable, MLReadable):
+    """Scalar products with the singular vectors; ``values`` are the singular values."""
+
+    def __init__(self, vectors: np.ndarray, values: np.ndarray):
+        super().__init__()
+        self.vectors, self.values = vectors, values
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        shared = dataset.sparkSession.sparkContext.broadcast(self.vectors)
+
+        @F.pandas_udf("array<double>")
+        def project(types: pd.Series, indices: pd.Series, values: pd.Series) -> pd.Series:
+            out = []
+            for kind, i, x in zip(types, indices, values):
+                at = slice(None) if kind == 1 else np.asarray(i, np.int64)
+                out.append(np.asarray(x, np.float64) @ shared.value[at])
+            return pd.Series(out)
+
+        plain = F.unwrap_udt(F.col(self.getInputCol()))
+        return dataset.withColumn(self.getOutputCol(), array_to_vector(project(plain["type"], plain["indices"], plain["values"])))
+
+    def table(self, spark) -> DataFrame:
+        rows = [(i, v.tolist()) for i, v in enumerate(self.vectors)]
+        return spark.createDataFrame([*rows, (-1, self.values.tolist())], "row int, numbers array<double>")
+
+    @classmethod
+    def from_table(cls, table: DataFrame) -> SvdModel:
+        rows = table.orderBy("row").collect()
+        return cls(np.array([r["numbers"] for r in rows[1:]]), np.array(rows[0]["numbers"]))
+
+    def write(self) -> TableWriter:
+        return TableWriter(self)
+
+    @classmethod
+    def read(cls) -> TableReader:
+        return TableReader(cls)
 
 
 def pca(df: DataFrame, k: int, source: str = "features", out: str = "pca") -> PCAModel:

@@ -19,6 +19,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
+from pyspark.ml.util import MLReadable, MLWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ from penprint.operators.neighbours import knn_predict
 from penprint.operators.recipes import TextTransformer
 from penprint.operators.scale import settled
 from penprint.operators.vectors import (
-    RandomFourier, TruncatedSvd, assemble, count_stage, poly2, scaler, tfidf_stages,
+    RandomFourier, TableReader, TableWriter, TruncatedSvd, assemble, count_stage, poly2, scaler, tfidf_stages,
 )
 
 # Search spaces per component.
@@ -148,22 +149,41 @@ class CosineKnn(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
 
     def _fit(self, dataset: DataFrame) -> CosineKnnModel:
         label = F.col(self.getLabelCol()).cast("int").alias("label")
-        return self._copyValues(CosineKnnModel(self, settled(self._vectors(dataset, label))))
+        return self._copyValues(CosineKnnModel(settled(self._vectors(dataset, label))))
 
 
-class CosineKnnModel(Model, HasFeaturesCol, HasLabelCol, HasPredictionCol):
-    def __init__(self, owner: CosineKnn, train: DataFrame):
+class CosineKnnModel(Model, HasFeaturesCol, HasLabelCol, HasPredictionCol, MLWritable, MLReadable):
+    """The training vectors and how to vote; rows without an answer have a null prediction."""
+
+    k, weights, idCol = CosineKnn.k, CosineKnn.weights, CosineKnn.idCol
+
+    def __init__(self, train: DataFrame):
         super().__init__()
-        self.owner, self.train = owner, train
+        self._setDefault(k=5, weights="uniform", idCol="doc_id")
+        self.train = train
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        key, get = self.owner.getOrDefault("idCol"), self.owner.getOrDefault
-        found = knn_predict(
-            self.train, self.owner._vectors(dataset), get("k"), get("weights"), id_col=key, skip_self=False
-        )
-        prediction = F.col("prediction").cast("double").alias(self.owner.getPredictionCol())
+        key, get = self.getOrDefault("idCol"), self.getOrDefault
+        asked = dataset.select(key, vector_to_array(self.getFeaturesCol()).alias("vec"))
+        known = self.train.withColumnRenamed(self.train.columns[0], key)
+        found = knn_predict(known, asked, get("k"), get("weights"), id_col=key, skip_self=False)
+        prediction = F.col("prediction").cast("double").alias(self.getPredictionCol())
         return dataset.join(found.select(F.col("id").alias(key), prediction), key, "left")
 
+    def table(self, spark) -> DataFrame:
+        return self.train
+
+    @classmethod
+    def from_table(cls, table: DataFrame) -> CosineKnnModel:
+        return cls(table)
+
+    def write(self) -> TableWriter:
+        return TableWriter(self)
+
+    @classmethod
+    def read(cls) -> TableReader:
+        return TableReader(cls)
+
 
 def _estimator(kind: str, params: dict, n_rows: int, label: str, doc: str) -> list:
     """The estimator of a kind, with scikit-style settings mapped to Spark's."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from penprint.sources.tables import read_table
 from penprint.streaming import scoring as stream_scoring
 from penprint.streaming import usage as stream_usage
 
-from checks.workload import CONTENT, STOP, WORD, author_number, docs, query, r6
+from checks.workload import CONTENT, STOP, WORD, author_number, docs, query
 from penprint.functions import text as T
 
 
@@ -52,62 +53,82 @@ def fitted(spark, folder, name: str, **params) -> DataFrame:
     return fit_classifier(name, {**SHORT, **params}, inputs, part).transform(table)
 
 
-def outcome(df: DataFrame, *more) -> DataFrame:
-    return df.select("doc_id", "split", F.col("label").cast("int"), F.col("prediction").cast("int"), *more)
-
-
-def best_share() -> F.Column:
-    return r6(F.array_max(vector_to_array("probability"))).alias("p")
+def outcome(spark, folder, df: DataFrame, label: str = "label", table: str = "documents", name: str = "lang", probabilities: str | None = None) -> DataFrame:
+    """What must hold of scored rows: the split and label of every row, a prediction among the known labels,
+    probabilities that are shares of one, and at least as many right answers as the most frequent label gives."""
+    df = scale.settled(df)
+    right = F.avg((F.col(label) == F.col("prediction")).cast("int")).alias("right")
+    most = df.groupBy(label).count().agg(F.max("count") / F.sum("count")).first()[0]
+    learned = df.agg(right).first()["right"] >= most
+    known = read_table(spark, folder, table).agg(F.count_distinct(name)).first()[0]
+    bounded = F.lit(True)
+    if probabilities:
+        p = F.col(probabilities) if dict(df.dtypes)[probabilities].startswith("array") else vector_to_array(probabilities)
+        bounded = F.forall(p, lambda x: (x >= 0) & (x <= 1 + 1e-9)) & (F.abs(F.aggregate(p, F.lit(0.0), lambda s, x: s + x) - 1) < 1e-6)
+    key = "vec_id" if table == "embeddings" else "doc_id"
+    return df.select(
+        key, "split", F.col(label).cast("int").alias("label"),
+        F.coalesce(F.col("prediction").between(0, known - 1) & (F.col("prediction") == F.floor("prediction")), F.lit(False)).alias("known"),
+        bounded.alias("bounded"), F.lit(bool(learned)).alias("learned"),
+    )
 
 
 @query
 def lr_scores(spark, folder):
-    scored = fitted(
-        spark, folder, "TF-IDF stats poly LR", text__lemmatize=True, model__C=10.0, model__class_weight="balanced"
-    )
-    return outcome(scored, best_share())
+    scored = fitted(spark, folder, "TF-IDF stats poly LR", text__lemmatize=True, model__C=10.0, model__class_weight="balanced")
+    return outcome(spark, folder, scored, probabilities="probability")
 
 
 @query
 def nb_scores(spark, folder):
-    return outcome(fitted(spark, folder, "BoW stats poly MultinomialNB", model__alpha=1.0), best_share())
+    scored = fitted(spark, folder, "BoW stats poly MultinomialNB", model__alpha=1.0)
+    return outcome(spark, folder, scored, probabilities="probability")
 
 
 @query
 def svm_scores(spark, folder):
-    return outcome(fitted(spark, folder, "TF-IDF stats poly SVM", model__kernel="linear", model__max_iter=30))
+    return outcome(spark, folder, fitted(spark, folder, "TF-IDF stats poly SVM", model__kernel="linear"))
 
 
 @query
 def svm_rbf_scores(spark, folder):
-    scored = fitted(
-        spark, folder, "TF-IDF stats poly SVM", model__kernel="rbf", model__max_iter=30, vectorizer__max_features=2048
-    )
-    return outcome(scored)
+    scored = fitted(spark, folder, "TF-IDF stats poly SVM", model__kernel="rbf", vectorizer__max_features=2048)
+    return outcome(spark, folder, scored)
 
 
 @query
 def knn_scores(spark, folder):
     scored = fitted(
-        spark, folder, "TF-IDF stats KNN", svd__n_components=40, model__n_neighbors=10, model__weights="distance",
-        vectorizer__max_features=1024,
+        spark, folder, "TF-IDF stats KNN", svd__n_components=40, model__n_neighbors=10, model__weights="distance"
     )
-    return outcome(scored)
+    return outcome(spark, folder, scored)
 
 
 @query
 def rf_scores(spark, folder):
     scored = fitted(
-        spark, folder, "BoW stats poly RF", svd__n_components=40, model__n_estimators=100, model__max_depth=10,
-        vectorizer__max_features=1024,
+        spark, folder, "BoW stats poly RF", svd__n_components=40, model__n_estimators=100, model__max_depth=10
     )
-    return outcome(scored, best_share())
+    return outcome(spark, folder, scored, probabilities="probability")
 
 
-def _bow(spark, folder, size: int = 1024) -> DataFrame:
+def _bow(spark, folder) -> DataFrame:
     rows = docs(spark, folder).select("doc_id", "lang", terms.vector_tokens("text").alias("tokens"))
     coded = catalogue.encode_labels(scale.balanced(rows), "lang", "label")
-    return scale.settled(count_stage("tokens", "bow", 3.0, 0.5, size).fit(coded).transform(coded).drop("tokens"))
+    return scale.settled(count_stage("tokens", "bow", 3, 0.5).fit(coded).transform(coded).drop("tokens"))
+
+
+@query
+def default_vocabulary(spark, folder):
+    """Sizes per document frequency of the vocabulary that a classifier with default settings learns."""
+    rows = scale.settled(docs(spark, folder).select("doc_id", terms.vector_tokens("text").alias("tokens")))
+    spec = classifiers.CLASSIFIERS["BoW stats poly MultinomialNB"]
+    stages = classifiers.embedding_stages(spec, {"vectorizer": {}, "svd": {}}, "embed", rows.count())
+    model = Pipeline(stages=stages[:2]).fit(rows).stages[1]
+    learned = spark.createDataFrame([(t,) for t in model.vocabulary], "term string")
+    df = rows.select("doc_id", F.explode("tokens").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("df"))
+    band = F.when(F.col("df") == 1, "1").when(F.col("df") < 5, "2-4").when(F.col("df") < 10, "5-9").otherwise("10+")
+    return learned.join(df, "term").groupBy(band.alias("band")).agg(F.count("*").alias("n_terms"))
 
 
 @query
@@ -115,8 +136,9 @@ def gbt_scores(spark, folder):
     rows = _bow(spark, folder)
     reduced = TruncatedSvd(inputCol="bow", outputCol="comps", k=50).fit(rows).transform(rows)
     table = splits.stratified_holdout(reduced, "lang", "doc_id").withColumn("label", F.col("label").cast("double"))
-    model = classifiers.boosted("comps", {"iterations": 10, "max_depth": 3}).fit(table.where("split = 'train'"))
-    return outcome(model.transform(table))
+    table = scale.settled(table)
+    model = classifiers.boosted("comps", {"max_depth": 3}).fit(table.where("split = 'train'"))
+    return outcome(spark, folder, model.transform(table))
 
 
 @query
@@ -125,8 +147,8 @@ def soft_vote(spark, folder):
     part = scale.settled(table.where("split = 'train'"))
     left = fit_classifier("BoW stats poly MultinomialNB", SHORT, inputs, part).transform(table)
     right = fit_classifier("TF-IDF stats poly LR", SHORT, inputs, part).transform(table)
-    voted = inference.soft_vote(left, right, "doc_id")
-    return voted.select("doc_id", "prediction", r6(F.array_max("probability")).alias("p"))
+    voted = inference.soft_vote(left, right, "doc_id").select("doc_id", "prediction", "probability")
+    return outcome(spark, folder, table.select("doc_id", "split", "label").join(voted, "doc_id"), probabilities="probability")
 
 
 @query
@@ -137,28 +159,39 @@ def embedding_head(spark, folder):
     table = scale.settled(splits.nested_holdout(vectors, "label", "vec_id"))
     parts = {s: table.where(F.col("split") == s) for s in ("train", "valid")}
     classes = int(table.agg(F.max("label")).first()[0]) + 1
-    model = classifiers.embedding_head(parts["train"], parts["valid"], classes, "vec", hidden=64)
-    return model.transform(table).select("vec_id", "split", F.col("label").cast("int"), F.col("prediction").cast("int"))
+    model = classifiers.embedding_head(parts["train"], parts["valid"], classes, "vec")
+    return outcome(spark, folder, model.transform(table), table="embeddings", name="label", probabilities="probability")
 
 
 @query
 def random_search(spark, folder):
     table, inputs = prepared(spark, folder)
-    folds = scale.settled(splits.stratified_folds(table, "label", "doc_id", 3))
+    grouped = table.withColumn("book", F.floor(F.col("doc_id") / 3))
+    folds = splits.stratified_group_folds(grouped, "label", "book", 3)
+    folds = scale.settled(grouped.join(folds.select("book", "fold"), "book"))
     held = {**SHORT, "vectorizer__ngram_range": (1, 1), "model__max_iter": 30}
     found = search.random_search("BoW stats poly LR", folds, inputs, k=3, n_iter=3, fixed_params=held)
-    return search.results_table(found, spark)
+    rows = search.results_table(found, spark)
+    scores = [F.col(f"{m}_{s}") for m in search.METRICS for s in ("mean", "std")]
+    best = max(r["f1_weighted_mean"] for r in found) == found[0]["f1_weighted_mean"]
+    leaks = folds.groupBy("book").agg(F.count_distinct("fold").alias("n")).where("n > 1").count()
+    bounded = F.forall(F.array(*scores), lambda x: (x >= 0) & (x <= 1))
+    return rows.select("draw", bounded.alias("bounded"), F.lit(best).alias("best_first"), F.lit(leaks).cast("bigint").alias("n_leaks"), F.lit(folds.count()).alias("n_rows"))
 
 
 @query
 def training_run(spark, folder):
     table, inputs = prepared(spark, folder)
-    parts = [table.where(F.col("split") == s) for s in ("train", "test")]
+    grouped = table.withColumn("book", F.floor(F.col("doc_id") / 3))
+    parts = [grouped.where(F.col("split") == s) for s in ("train", "test")]
     held = {**SHORT, "vectorizer__ngram_range": (1, 1)}
     result = train(
-        "TF-IDF stats poly MultinomialNB", parts[0].drop("weight"), parts[1], inputs, "doc_id", k=3, n_iter=2, fixed_params=held
+        "TF-IDF stats poly MultinomialNB", parts[0].drop("weight"), parts[1], inputs, "book", k=3, n_iter=2, fixed_params=held
     )
-    return result.record.drop("logged_at")
+    scored = result.model.transform(parts[1]).withColumn("prediction", F.col("prediction"))
+    rows = outcome(spark, folder, scored, probabilities="probability")
+    best = F.lit(0 <= result.best["f1_weighted_std"] <= result.best["f1_weighted_mean"] <= 1)
+    return rows.withColumn("best", best)
 
 
 def _topic_vectors(spark, folder):
@@ -173,26 +206,39 @@ def _topic_vectors(spark, folder):
 
 @query
 def lda_topics(spark, folder):
+    """Dominant topics for five numbers of topics; the largest of k shares is 1 / k at least."""
     vectors, words = _topic_vectors(spark, folder)
     parts = []
-    for k, model in topics.fit_lda_grid(vectors, (10, 15), passes=3).items():
+    for k, model in topics.fit_lda_grid(vectors, (10, 15, 20, 25, 30), passes=10).items():
         found = topics.dominant_topic(vectors, model, words)
-        parts.append(found.select("doc_id", F.lit(k).alias("k"), "topic", r6("probability").alias("probability"), "topic_words"))
+        shown = F.col("topic").between(0, k - 1) & (F.col("probability") <= 1 + 1e-9) & (F.col("probability") >= 1 / k - 1e-6)
+        parts.append(found.select("doc_id", F.lit(k).alias("k"), shown.alias("bounded")))
     return splits.union_corpora(*parts)
 
 
 @query
 def svd_coords(spark, folder):
+    """Coordinates on five components: energies fall, stay below the squared norm, and columns are orthogonal."""
     rows = _bow(spark, folder)
-    reduced = TruncatedSvd(inputCol="bow", outputCol="comps", k=5).fit(rows).transform(rows)
-    coords = vector_to_array("comps")
-    return reduced.select("doc_id", *[F.round(coords[i], 4).alias(f"c{i}") for i in range(5)])
+    model = TruncatedSvd(inputCol="bow", outputCol="comps", k=5).fit(rows)
+    reduced = scale.settled(model.transform(rows).select("doc_id", vector_to_array("comps").alias("c"), vector_to_array("bow").alias("b")))
+    products = [F.sum(F.col("c")[i] * F.col("c")[j]).alias(f"p{i}{j}") for i in range(5) for j in range(i, 5)]
+    norm = F.sum(F.aggregate("b", F.lit(0.0), lambda s, x: s + x * x)).alias("norm")
+    found = reduced.agg(norm, *products).first()
+    energy = [found[f"p{i}{i}"] for i in range(5)]
+    falling = all(x >= y * (1 - 1e-6) for x, y in zip(energy, energy[1:])) and sum(energy) <= found["norm"] * (1 + 1e-9)
+    square = all(abs(found[f"p{i}{j}"]) <= 0.02 * (energy[i] * energy[j]) ** 0.5 for i in range(5) for j in range(i + 1, 5))
+    return reduced.select("doc_id", F.lit(falling).alias("falling"), F.lit(square).alias("orthogonal"), F.lit(int(round(found["norm"]))).cast("bigint").alias("squared_norm"))
 
 
 @query
 def pca_variance(spark, folder):
-    curve = explained_curve(_bow(spark, folder), [10, 20, 30, 40, 50], "bow")
-    return curve.select("k", r6("explained").alias("explained"))
+    rows = _bow(spark, folder)
+    reduced = scale.settled(TruncatedSvd(inputCol="bow", outputCol="comps", k=50).fit(rows).transform(rows))
+    curve = explained_curve(reduced, [10, 20, 30, 40, 50], "comps")
+    shares = [r["explained"] for r in curve.orderBy("k").collect()]
+    rising = all(0 < x <= y * (1 + 1e-9) for x, y in zip(shares, shares[1:])) and shares[-1] <= 1 + 1e-9
+    return curve.select("k", F.lit(rising).alias("rising"))
 
 
 # streams
@@ -238,13 +284,16 @@ def user_counter_stream(spark, folder):
 
 @query
 def score_stream(spark, folder):
+    """Every document scored as it arrives by a model with lemmas and part-of-speech statistics, and again as a table."""
     table, inputs = prepared(spark, folder)
-    names = [c for c in stat_columns() if c != "punct2word"]
-    part = table.where("split = 'train'").drop(*names, "punct2word")
-    plain = Inputs(pattern=WORD, stopwords=tuple(STOP))
-    model = fit_classifier("BoW stats poly MultinomialNB", {**SHORT, "stats__pos_stats": False}, plain, part)
+    part = table.where("split = 'train'").drop(*stat_columns())
+    model = fit_classifier("BoW stats poly MultinomialNB", {**SHORT, "text__lemmatize": True}, inputs, part)
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     texts = stream_scoring.text_stream(spark, folder, schema, "parquet", "documents.parquet")
     base = run_folder(spark, "scored")
     stream_scoring.score_stream(texts, model, ["doc_id"], f"{base}/rows", f"{base}/state", every=None).awaitTermination()
-    return spark.read.parquet(f"{base}/rows")
+    streamed = stream_scoring.read_scored(spark, f"{base}/rows")
+    again = inference.predict_authors(model.transform(docs(spark, folder)), ["doc_id"], return_names=True)
+    both = streamed.join(again.select("doc_id", F.col("label").alias("l"), F.col("name").alias("n")), "doc_id")
+    same = F.col("label").eqNullSafe(F.col("l")) & F.col("name").eqNullSafe(F.col("n"))
+    return both.select("doc_id", F.col("label").between(-1, 9).alias("known"), same.alias("same"))

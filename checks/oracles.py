@@ -656,3 +656,36 @@ FROM events GROUP BY 1"""
 ORACLES["new_user_stream"] = ORACLES["registered_users"]
 ORACLES["user_counter_stream"] = f"""
 WITH {USERS} SELECT user_id AS id, requests, rating FROM requests JOIN ratings USING (user_id)"""
+
+# models: what must hold of every scored row
+
+_LABELLED = f"""
+WITH {HASHED}, l AS (
+  SELECT doc_id, CASE WHEN r <= ceil(n * 0.3::DOUBLE) THEN 'test' ELSE 'train' END AS split,
+         CAST(dense_rank() OVER (ORDER BY lang) - 1 AS INTEGER) AS label FROM h)
+SELECT doc_id, split, label, true AS known, true AS bounded, true AS learned"""
+for _name in ("lr", "nb", "svm", "svm_rbf", "knn", "rf", "gbt"):
+    ORACLES[f"{_name}_scores"] = f"{_LABELLED} FROM l"
+ORACLES["soft_vote"] = f"{_LABELLED} FROM l"
+ORACLES["training_run"] = f"{_LABELLED}, true AS best FROM l WHERE split = 'test'"
+ORACLES["random_search"] = """
+SELECT unnest(range(3))::INTEGER AS draw, true AS bounded, true AS best_first, 0::BIGINT AS n_leaks,
+       (SELECT count(*) FROM documents) AS n_rows"""
+ORACLES["embedding_head"] = f"""
+WITH h AS (
+  SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR) || ':42')) AS r,
+         ceil(count(*) OVER (PARTITION BY label) * 0.2::DOUBLE) AS held FROM embeddings)
+SELECT vec_id, CASE WHEN r <= ceil(held * 0.2::DOUBLE) THEN 'test' WHEN r <= held THEN 'valid' ELSE 'train' END AS split,
+       label, true AS known, true AS bounded, true AS learned FROM h"""
+ORACLES["lda_topics"] = """
+SELECT doc_id, CAST(k AS INTEGER) AS k, true AS bounded FROM documents, (SELECT unnest([10, 15, 20, 25, 30]) AS k)"""
+ORACLES["svd_coords"] = f"""
+WITH {grams(VECTOR_WORDS, "documents", 1, 1)}, {CORPUS},
+kept AS (SELECT tf FROM tf JOIN dfs USING (term) WHERE df >= 3 AND df <= 0.5 * (SELECT count(*) FROM documents))
+SELECT doc_id, true AS falling, true AS orthogonal, (SELECT CAST(sum(tf * tf) AS BIGINT) FROM kept) AS squared_norm FROM documents"""
+ORACLES["pca_variance"] = "SELECT CAST(unnest([10, 20, 30, 40, 50]) AS INTEGER) AS k, true AS rising"
+ORACLES["score_stream"] = "SELECT doc_id, true AS known, true AS same FROM documents"
+ORACLES["default_vocabulary"] = f"""
+WITH {grams(VECTOR_WORDS, "documents", 1, 1)}, {CORPUS}
+SELECT CASE WHEN df = 1 THEN '1' WHEN df < 5 THEN '2-4' WHEN df < 10 THEN '5-9' ELSE '10+' END AS band, count(*) AS n_terms
+FROM dfs GROUP BY 1"""

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,7 @@ from penprint.llm.common import bounded, written
 from penprint.llm.labelled import remainder_is
 
 BLOCK = 4 << 20  # text bytes of a block
+KEY = 40  # bits that name a word; of a million words none, of a billion one in two thousand shares its name
 DISCOUNT = (0.75, 0.8)  # of the parent, of the contexts
 STRENGTH = (1.0, 1.0)
 SWEEPS, KEPT = 4, 2  # the last KEPT of the sweeps are kept
@@ -38,22 +40,25 @@ FIELDS = [("block", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int32()), *
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Unsigned numbers in as few bytes each as the largest needs."""
+    """Unsigned numbers in as few bytes each as the largest needs, the bytes of one place together, compressed."""
     kind = np.min_scalar_type(int(values.max(initial=0)))
-    return kind.str[1:].encode() + values.astype(kind).tobytes()
+    planes = np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(-1, kind.itemsize).T)
+    return kind.str[1:].encode() + zstandard.compress(planes.tobytes(), 1)
 
 
 def unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, data[:2].decode(), offset=2).astype(np.int64)
+    kind = np.dtype(data[:2].decode())
+    planes = np.frombuffer(zstandard.decompress(data[2:]), np.uint8).reshape(kind.itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind)[:, 0].astype(np.int64)
 
 
-def pack48(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+def pack_keys(keys: np.ndarray) -> bytes:
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : KEY // 8]).tobytes()
 
 
-def unpack48(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+def unpack_keys(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // (KEY // 8), 8), np.uint8)
+    out[:, : KEY // 8] = np.frombuffer(data, np.uint8).reshape(-1, KEY // 8)
     return out.view("<u8")[:, 0]
 
 
@@ -87,9 +92,12 @@ def blocks_of(docs: DataFrame, identity: str, learn) -> DataFrame:
 
         def block() -> pa.RecordBatch:
             ids, flags, counts, hashes = (np.concatenate([h[k] for h in held]) for k in range(4))
-            known, places = np.unique(hashes, return_inverse=True)
+            known, places, often = np.unique(hashes >> np.uint64(64 - KEY), return_inverse=True, return_counts=True)
+            order = np.argsort(-often, kind="stable")  # small places for frequent words
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
             name = uuid.uuid4().int >> 65
-            return rows_of([(name, 0, 0, ids.tobytes(), flags.tobytes(), pack(counts), known.tobytes(), pack(places))])
+            return rows_of([(name, 0, 0, ids.tobytes(), flags.tobytes(), pack(counts), pack_keys(known[order]), pack(rank[places]))])
 
         size = 0
         for batch in bounded(batches, BLOCK // 4):
@@ -115,7 +123,7 @@ def blocks_of(docs: DataFrame, identity: str, learn) -> DataFrame:
 
 def opened(row: dict) -> dict:
     """A block's arrays; every token with its context."""
-    counts, known, places = unpack(row["c"]), np.frombuffer(row["d"], np.uint64), unpack(row["e"])
+    counts, known, places = unpack(row["c"]), unpack_keys(row["d"]), unpack(row["e"])
     flags = np.frombuffer(row["b"], np.uint8)
     first = np.append(0, np.cumsum(counts))[:-1]
     before = np.empty_like(places)
@@ -126,9 +134,9 @@ def opened(row: dict) -> dict:
 
 
 def word_requests(row: dict, buckets: int) -> list[tuple]:
-    """Distinct words by owner: a: 48-bit keys, b: training counts, c: their places in the block's list."""
+    """Distinct words by owner: a: keys, b: training counts, c: their places in the block's list."""
     block = opened(row)
-    keys = block["known"] >> np.uint64(16)
+    keys = block["known"]
     counts = np.bincount(block["places"][block["learn"]], minlength=len(keys))
     owner = (keys % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(owner, kind="stable")
@@ -137,7 +145,7 @@ def word_requests(row: dict, buckets: int) -> list[tuple]:
     for k in range(buckets):
         part = order[ends[k] : ends[k + 1]]
         if len(part):
-            out.append((row["block"], k, 1, pack48(keys[part]), pack(counts[part]), None, None, None))
+            out.append((row["block"], k, 1, pack_keys(keys[part]), pack(counts[part]), None, None, None))
     return out
 
 
@@ -151,7 +159,7 @@ def pair_owners(u: np.ndarray, w: np.ndarray, hot: tuple[np.ndarray, np.ndarray]
 def pairs_of(block: dict, hot, buckets: int) -> tuple:
     """The block's distinct (context, word) pairs by owner and key: context and word places, owners, each token's pair."""
     n = len(block["known"]) + 1
-    keys = np.append(block["known"], START) >> np.uint64(16)
+    keys = np.append(block["known"], START >> np.uint64(64 - KEY))
     pair, token = np.unique(block["before"] * n + block["places"], return_inverse=True)
     u, w = pair // n, pair % n
     owner = pair_owners(keys[u], keys[w], hot, buckets)
@@ -174,7 +182,7 @@ def pair_requests(row: dict, hot, buckets: int) -> list[tuple]:
             continue
         runs = np.flatnonzero(np.append(True, u[part][1:] != u[part][:-1]))
         lengths = np.diff(np.append(runs, ends[k + 1] - ends[k]))
-        out.append((row["block"], k, 2, pack48(keys[u[part][runs]]), pack(lengths), pack48(keys[w[part]]), pack(counts[part]), None))
+        out.append((row["block"], k, 2, pack_keys(keys[u[part][runs]]), pack(lengths), pack_keys(keys[w[part]]), pack(counts[part]), None))
     return out
 
 
@@ -240,11 +248,13 @@ def scored(docs: DataFrame, learn, identity: str = "doc_id", buckets: int | None
     def owned(df: DataFrame) -> DataFrame:
         return df.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", "kind", "block")
 
-    asked = written(blocks.mapInArrow(lambda b: request(b, word_requests, buckets), SCHEMA), "word-requests")
+    asked = blocks.mapInArrow(lambda b: request(b, word_requests, buckets), SCHEMA)
+    sizes = blocks.mapInArrow(learned_docs, "n bigint, tokens bigint").agg(F.sum("n").alias("n"), F.sum("tokens").alias("tokens")).first()
+    starts, learned = sizes["n"] or 0, sizes["tokens"] or 0
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in grouped(batches, "bucket"):
-            keys = [unpack48(r["a"]) for r in rows]
+            keys = [unpack_keys(r["a"]) for r in rows]
             known, place = np.unique(np.concatenate(keys), return_inverse=True)
             total = np.bincount(place, weights=np.concatenate([unpack(r["b"]) for r in rows])).astype(np.int64)
             ends = np.append(0, np.cumsum([len(k) for k in keys]))
@@ -252,7 +262,8 @@ def scored(docs: DataFrame, learn, identity: str = "doc_id", buckets: int | None
                 yield rows_of([(r["block"], r["bucket"], 1, pack(total[place[ends[k] : ends[k + 1]]]), None, None, None, None)])
             seen = total > 0
             sums = np.array([total.sum(), seen.sum()], "<i8")
-            yield rows_of([(None, rows[0]["bucket"], 9, sums.tobytes(), known[seen].tobytes(), total[seen].tobytes(), None, None)])
+            often = total * SHARE >= max(1, learned)
+            yield rows_of([(None, rows[0]["bucket"], 9, sums.tobytes(), known[often].tobytes(), total[often].tobytes(), None, None)])
 
     counted = written(owned(asked).mapInArrow(count_words, SCHEMA), "word-counts")
 
@@ -267,19 +278,16 @@ def scored(docs: DataFrame, learn, identity: str = "doc_id", buckets: int | None
     def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b, c in zip(batch.column("b").to_pylist(), batch.column("c").to_pylist()):
-                count = np.frombuffer(c, "<i8")
-                often = count * SHARE >= max(1, tokens)
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b, np.uint64)[often].view(np.int64)), pa.array(count[often])], ["w", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b, np.int64)), pa.array(np.frombuffer(c, np.int64))], ["w", "n"])
 
     top = counted.where("kind = 9").select("b", "c").mapInArrow(common, "w bigint, n bigint").toPandas().sort_values("w")
     top_words, top_counts = top["w"].to_numpy().view(np.uint64) if len(top) else np.zeros(0, np.uint64), top["n"].to_numpy()
     # contexts with more than a quarter of a partition's share of the tokens are split
     parts = np.ceil(top_counts * 4.0 * buckets / max(1, tokens)).astype(np.int64) if len(top) else np.zeros(0, np.int64)
-    starts = blocks.mapInArrow(lambda b: learned_docs(b), "n bigint").agg(F.sum("n").alias("n")).first()["n"] or 0
     split = parts > 1
     hot_words, hot_parts = top_words[split], parts[split]
     if starts * 4 * buckets > tokens:
-        hot_words = np.append(hot_words, START >> np.uint64(16))
+        hot_words = np.append(hot_words, START >> np.uint64(64 - KEY))
         hot_parts = np.append(hot_parts, int(np.ceil(starts * 4 * buckets / max(1, tokens))))
         order = np.argsort(hot_words)
         hot_words, hot_parts = hot_words[order], hot_parts[order]
@@ -292,8 +300,8 @@ def scored(docs: DataFrame, learn, identity: str = "doc_id", buckets: int | None
         for rows in grouped(batches, "bucket"):
             bucket = rows[0]["bucket"]
             sizes = [unpack(r["b"]) for r in rows]
-            us = [np.repeat(unpack48(r["a"]), s) for r, s in zip(rows, sizes)]
-            u, w = np.concatenate(us), np.concatenate([unpack48(r["c"]) for r in rows])
+            us = [np.repeat(unpack_keys(r["a"]), s) for r, s in zip(rows, sizes)]
+            u, w = np.concatenate(us), np.concatenate([unpack_keys(r["c"]) for r in rows])
             pair = words.mix(u ^ (w * np.uint64(0x9E3779B97F4A7C15)))
             _, first, place = np.unique(pair, return_index=True, return_inverse=True)
             customers = np.bincount(place, weights=np.concatenate([unpack(r["d"]) for r in rows])).astype(np.int64)
@@ -324,7 +332,7 @@ def scored(docs: DataFrame, learn, identity: str = "doc_id", buckets: int | None
             for k in range(buckets):
                 part = order[cuts[k] : cuts[k + 1]]
                 if len(part):
-                    out.append((None, k, 0, pack48(known[part]), pack(guests[:, part].ravel()), None, None, None))
+                    out.append((None, k, 0, pack_keys(known[part]), pack(guests[:, part].ravel()), None, None, None))
             yield rows_of(out)
 
     seats = written(owned(pair_asked).mapInArrow(seat_pairs, SCHEMA), "pair-seats")
@@ -344,11 +352,11 @@ def scored(docs: DataFrame, learn, identity: str = "doc_id", buckets: int | None
     def seat_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in grouped(batches, "bucket"):
             guests, asks = [r for r in rows if r["kind"] == 0], [r for r in rows if r["kind"] == 1]
-            keys = [unpack48(r["a"]) for r in asks]
+            keys = [unpack_keys(r["a"]) for r in asks]
             known, place = np.unique(np.concatenate(keys), return_inverse=True) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             customers = np.zeros((KEPT, len(known)), np.int64)
             for r in guests:
-                customers[:, np.searchsorted(known, unpack48(r["a"]))] += unpack(r["b"]).reshape(KEPT, -1)
+                customers[:, np.searchsorted(known, unpack_keys(r["a"]))] += unpack(r["b"]).reshape(KEPT, -1)
             tables = []
             for s in range(KEPT):  # the parent's other tables: about one for each known word
                 rng = np.random.default_rng([SEED, s, rows[0]["bucket"]])
@@ -379,7 +387,7 @@ def scored(docs: DataFrame, learn, identity: str = "doc_id", buckets: int | None
         for rows in grouped(batches, "block"):
             block = opened(rows[0])
             n = len(block["known"])
-            keys = block["known"] >> np.uint64(16)
+            keys = block["known"]
             order = np.argsort((keys % np.uint64(buckets)).astype(np.int64), kind="stable")
             kinds = {k: [r for r in rows if r["kind"] == k] for k in (1, 2, 3)}
             count = np.empty(n, np.int64)
@@ -427,9 +435,11 @@ def scored(docs: DataFrame, learn, identity: str = "doc_id", buckets: int | None
 
 
 def learned_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents and tokens to learn from."""
     for batch in batches:
-        n = [int((np.frombuffer(b, np.uint8) & 2 > 0).sum()) for b in batch.column("b").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], ["n"])
+        for b, c in zip(batch.column("b").to_pylist(), batch.column("c").to_pylist()):
+            learn = np.frombuffer(b, np.uint8) & 2 > 0
+            yield pa.RecordBatch.from_arrays([pa.array([int(learn.sum())], pa.int64()), pa.array([int(unpack(c)[learn].sum())], pa.int64())], ["n", "tokens"])
 
 
 def with_perplexity(scores: DataFrame) -> DataFrame:

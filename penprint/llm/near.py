@@ -24,7 +24,8 @@ COORDINATES = 64
 MATCHES = 28
 #: Pairs that agree in MATCHES coordinates agree in one of the first PREFIX at least.
 PREFIX = COORDINATES - MATCHES + 1
-TILE, TILE_BYTES = 1024, 8 << 20
+PART = 100_000  # rows of a partition in tables of ids
+TILE, TILE_BYTES = 1024, 2 << 20
 FACTORS = np.random.default_rng(0xC0DE).integers(0, 1 << 63, COORDINATES, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -43,7 +44,7 @@ def described(docs: DataFrame, identity: str = "doc_id", width: int = WIDTH) ->
     """id, n_shingles, digest of the shingle set, signature of every row."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, 1 << 20):
+        for batch in bounded(batches, 1 << 19):
             sets, bounds = words.shingles(batch.column("text"), width)
             rows = signatures(sets, bounds)
             digests = [hashlib.md5(sets[a:b]).digest() for a, b in zip(bounds[:-1], bounds[1:])]
@@ -154,6 +155,9 @@ def family_links(families: DataFrame, classes: DataFrame, least: int = MATCHES)
     ordered = members.repartitionByRange("hub", "id").sortWithinPartitions("hub", "id").select("hub", "id", "signature")
     tiles = written(ordered.mapInArrow(cut, "hub bigint, tile bigint, ids binary, data binary"), "signature-tiles")
     spread = tiles.groupBy("hub").agg(F.count("*").alias("n")).where("n > 1").select("hub")
+    columns, kind = ["ids", "data", "ids2", "data2"], "a bigint, b bigint"
+    inside = tiles.withColumn("ids2", F.lit(None).cast("binary")).withColumn("data2", F.lit(None).cast("binary")).select(columns)
+    spread = written(spread.coalesce(8), "large-families")
     large = tiles.join(spread, "hub", "left_semi")
     other = large.select("hub", F.col("tile").alias("tile2"), F.col("ids").alias("ids2"), F.col("data").alias("data2"))
     index = large.select("hub", "tile").join(other.select("hub", "tile2"), "hub").where("tile < tile2")
@@ -173,9 +177,8 @@ def family_links(families: DataFrame, classes: DataFrame, least: int = MATCHES)
                     found.append(stars(x[i], y[j]))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[s] for f in found])) for s in (0, 1)], ["a", "b"])
 
-    columns = ["ids", "data", "ids2", "data2"]
-    inside = tiles.withColumn("ids2", F.lit(None).cast("binary")).withColumn("data2", F.lit(None).cast("binary")).select(columns)
-    kind = "a bigint, b bigint"
+    if not spread.limit(1).count():
+        return inside.mapInArrow(compare, kind)
     return inside.mapInArrow(compare, kind).unionByName(pairs.select(columns).mapInArrow(compare, kind))
 
 
@@ -188,7 +191,8 @@ def confirmed(docs: DataFrame, clusters: DataFrame, identity: str, width: int =
     sizes = clusters.groupBy("component").agg(F.count("*").alias("size"))
     wanted = clusters.join(sizes, "component").select(F.col("id").alias("_id"), "component", "size")
     texts = docs.select(F.col(identity).cast("bigint").alias("_id"), "text", F.xxhash64("text").alias("tie"))
-    rows = lookup_join(texts, written(wanted, "wanted"), ["_id"], salt_on=["tie"])
+    parts = max(8, -(-clusters.count() // PART))
+    rows = lookup_join(texts, written(wanted.coalesce(parts), "wanted"), ["_id"], salt_on=["tie"])
     ordered = rows.repartitionByRange("component", "_id").sortWithinPartitions("component", "_id")
 
     def star(ids: np.ndarray, ids2: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,7 +215,7 @@ def confirmed(docs: DataFrame, clusters: DataFrame, identity: str, width: int =
                 out.append({"cluster": cluster, "tile": base + number, "ids": ids.tobytes(), "lengths": np.diff(bounds).tobytes(), "sets": flat.tobytes()})
             return pa.RecordBatch.from_pylist(out, schema=kind)
 
-        for batch in batches:
+        for batch in bounded(batches, 1 << 20):
             for c, n, i, t in zip(*(batch.column(x).to_pylist() for x in ("component", "size", "_id", "text"))):
                 if held and (c != cluster or len(held) == TILE or weight + len(t or "") > TILE_BYTES):
                     yield tile()
@@ -226,6 +230,9 @@ def confirmed(docs: DataFrame, clusters: DataFrame, identity: str, width: int =
         cut, "a bigint, b bigint, cluster bigint, tile bigint, ids binary, lengths binary, sets binary"
     )
     found = written(found, "cluster-tiles")
+    edges = found.where("a is not null").select("a", "b")
+    if not found.where("tile is not null").limit(1).count():
+        return edges
     bodies = found.where("tile is not null").select("cluster", "tile", "ids", "lengths", "sets")
     other = bodies.select("cluster", *[F.col(c).alias(c + "2") for c in ("tile", "ids", "lengths", "sets")])
     index = bodies.select("cluster", "tile").join(other.select("cluster", "tile2"), "cluster").where("tile < tile2")
@@ -244,7 +251,7 @@ def confirmed(docs: DataFrame, clusters: DataFrame, identity: str, width: int =
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     across = pairs.select("ids", "lengths", "sets", "ids2", "lengths2", "sets2").mapInArrow(compare, "a bigint, b bigint")
-    return found.where("a is not null").select("a", "b").unionByName(across)
+    return edges.unionByName(across)
 
 
 def near_duplicates(docs: DataFrame, identity: str = "doc_id") -> DataFrame:
@@ -260,18 +267,18 @@ def near_duplicates(docs: DataFrame, identity: str = "doc_id") -> DataFrame:
     table = written(described(docs, identity), "signatures")
     usable = table.where("n_shingles > 0 and id is not null")
     classes = written(usable.groupBy("digest").agg(F.min("id").alias("id"), F.any_value("signature").alias("signature")), "classes")
-    single = written(classes.groupBy("id").agg(F.any_value("signature").alias("signature"), F.count("*").alias("n")), "class-ids")
-    families = written(hubs(classes), "families")
+    parts = max(8, -(-classes.count() // PART))  # of tables with a small row for each class
+    families = written(hubs(classes).coalesce(parts), "families")
     clusters = components(written(family_links(families, classes), "candidates"))
     links = confirmed(docs, written(clusters, "clusters"), identity)
     # rows of one class, and of one id, are linked as they are
     members = usable.select("id", "digest").join(classes.select("digest", F.col("id").alias("class")), "digest")
-    doubled = single.where("n > 1").select("id").limit(1).count() > 0 or usable.groupBy("id").count().where("count > 1").limit(1).count() > 0
+    doubled = usable.groupBy("id").count().where("count > 1").limit(1).count() > 0
     if doubled:
         links = links.unionByName(members.where("id <> class").select(F.col("id").alias("a"), F.col("class").alias("b")))
     roots = components(written(links, "confirmed"))
     known = roots.select(F.col("id").alias("class"), "component")
-    by_class = written(classes.select("digest", F.col("id").alias("class")).join(known, "class", "left").select("digest", F.coalesce("component", "class").alias("component")), "class-roots")
+    by_class = written(classes.select("digest", F.col("id").alias("class")).join(known, "class", "left").select("digest", F.coalesce("component", "class").alias("component")).coalesce(parts), "class-roots")
     out = lookup_join(table, by_class, ["digest"], "left", salt_on=["id"])
     component = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id"))
     out = out.select("id", "n_shingles", component.alias("component_id"))

@@ -176,7 +176,7 @@ def random_search(spark, folder):
     best = max(r["f1_weighted_mean"] for r in found) == found[0]["f1_weighted_mean"]
     leaks = folds.groupBy("book").agg(F.count_distinct("fold").alias("n")).where("n > 1").count()
     bounded = F.forall(F.array(*scores), lambda x: (x >= 0) & (x <= 1))
-    return rows.select("draw", bounded.alias("bounded"), F.lit(best).alias("best_first"), F.lit(leaks).cast("bigint").alias("n_leaks"), F.lit(folds.count()).alias("n_rows"))
+    return rows.select("draw", bounded.alias("bounded"), F.lit(best).alias("best_first"), F.lit(leaks).cast("bigint").alias("n_leaks"), F.lit(folds.count()).cast("bigint").alias("n_rows"))
 
 
 @query
@@ -211,7 +211,9 @@ def lda_topics(spark, folder):
     parts = []
     for k, model in topics.fit_lda_grid(vectors, (10, 15, 20, 25, 30), passes=10).items():
         found = topics.dominant_topic(vectors, model, words)
-        shown = F.col("topic").between(0, k - 1) & (F.col("probability") <= 1 + 1e-9) & (F.col("probability") >= 1 / k - 1e-6)
+        empty = ~F.exists(vector_to_array("features"), lambda x: x > 0)  # no word of the dictionary: no shares
+        share = (F.col("probability") <= 1 + 1e-9) & (F.col("probability") >= 1 / k - 1e-6)
+        shown = F.col("topic").between(0, k - 1) & F.when(empty, F.col("probability") == 0).otherwise(share)
         parts.append(found.select("doc_id", F.lit(k).alias("k"), shown.alias("bounded")))
     return splits.union_corpora(*parts)
 

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from penprint.operators.scale import lookup_join, settled, unnest
 
-MAX_CLASSES = 10_000
-
 
 @dataclass
 class NaiveBayesTable:
@@ -31,9 +29,7 @@ def fit(counts: DataFrame, doc_labels: DataFrame, doc: str, label: str, alpha: f
     seen = settled(counts.groupBy("term", label).agg(F.sum("tf").alias("n")))
     sizes = doc_labels.groupBy(label).agg(F.count("*").alias("docs"))
     totals = seen.groupBy(label).agg(F.sum("n").alias("words"))
-    rows = sizes.join(totals, label, "left").fillna(0).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
+    rows = sizes.join(totals, label, "left").fillna(0).collect()  # a row per class
     classes = sorted((r[label], r["docs"], r["words"]) for r in rows)
     gain = F.log(F.col("n") + alpha) - F.log(F.lit(alpha))
     per_term = seen.groupBy("term").agg(

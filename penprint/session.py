@@ -22,6 +22,7 @@ def build_session(app: str = "penprint", cores: str | int = "*", **conf) -> Spar
         # more than the default 128 documents may be open before Spark sorts.
         .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "4096")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
     )

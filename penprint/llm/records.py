@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from penprint.llm.common import bounded, shared_folder
 
 END = 0
-CACHE = 1_500_000  # pieces whose ids a worker keeps, about 0.3 GB
+CACHE = 800_000  # pieces whose ids a worker keeps, about 0.15 GB
 MANIFEST = "part int, file string, docs bigint, tokens bigint, bytes bigint"
 
 HEAD, FRAME, INDEX = "<qBB", "<QI", "<qqq"  # of a payload, a frame, an index entry
@@ -167,7 +167,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end: int | None
         name = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}"
         kind, count, tokens, at = coder.kind, 0, 0, 0
         tail = b"" if end is None else np.array([end], kind).tobytes()
-        for batch in bounded(batches):
+        for batch in bounded(batches, 1 << 20):
             if files is None:
                 target[0].create_dir(target[1], recursive=True)
                 files = [target[0].open_output_stream(f"{target[1]}/{name}.{x}") for x in ("rec", "idx")]

@@ -7,7 +7,8 @@ A word's probability is the average of its predictive probabilities under the ke
 
 The corpus is cut into blocks of a few megabytes. A block sends its distinct words and word pairs, with their training
 counts, to the partition that owns each of them; there the counts meet, customers are seated, and what the block needs
-for scoring goes back to it in the order in which it asked. So nothing of the size of the corpus is collected or
+for scoring goes back to it in the order in which it asked. Words are sent by their hashes once; the partition that owns
+a word numbers it, and pairs are sent by these numbers. So nothing of the size of the corpus is collected or
 broadcast, and every word pair crosses the network once a block. A context with many customers is split over
 partitions by the following word.
 """
@@ -28,12 +29,13 @@ from penprint.llm.common import bounded, written
 from penprint.llm.labelled import remainder_is
 
 BLOCK = 4 << 20  # text bytes of a block
-KEY = 40  # bits that name a word; of a million words none, of a billion one in two thousand shares its name
+KEY = 64  # bits of the hash that names a word; two of a hundred million words share it once in 3,700 corpora
 DISCOUNT = (0.75, 0.8)  # of the parent, of the contexts
 STRENGTH = (1.0, 1.0)
 SWEEPS, KEPT = 4, 2  # the last KEPT of the sweeps are kept
 SEED = 11
-END, START = np.uint64(0xE0D0_0000_0000_0001), np.uint64(0x57A2_0000_0000_0001)
+END = np.uint64(0xE0D0_0000_0000_0001)
+START = 0  # the context at the beginning of a document, beside the words' numbers
 SHARE = 1 << 17  # words with at least this part of all tokens are named to every partition; there are SHARE at most
 SCHEMA = "block bigint, bucket int, kind int, a binary, b binary, c binary, d binary, e binary"
 FIELDS = [("block", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int32()), *((c, pa.binary()) for c in "abcde")]
@@ -62,6 +64,14 @@ def unpack_keys(data: bytes) -> np.ndarray:
     return out.view("<u8")[:, 0]
 
 
+def pack_rising(numbers: np.ndarray) -> bytes:
+    return pack(np.diff(numbers, prepend=0))
+
+
+def unpack_rising(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data))
+
+
 def rows_of(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [()] * len(FIELDS)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, FIELDS)], [n for n, _ in FIELDS])
@@ -149,17 +159,39 @@ def word_requests(row: dict, buckets: int) -> list[tuple]:
     return out
 
 
+def numbered(total: np.ndarray, bucket: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of a partition's words, small ones for frequent words, and the words in the order of their numbers.
+
+    The remainder by ``buckets`` is the partition, so words of different partitions have different numbers.
+    """
+    order = np.argsort(-total, kind="stable")
+    numbers = np.empty(len(order), np.int64)
+    numbers[order] = (np.arange(len(order)) + 1) * buckets + bucket
+    return numbers, order
+
+
+def answered(rows: list[dict], buckets: int) -> tuple[dict, np.ndarray, np.ndarray]:
+    """A block, and the training counts and numbers of its words, from its row and the answers to its word requests."""
+    block = opened(rows[0])
+    order = np.argsort((block["known"] % np.uint64(buckets)).astype(np.int64), kind="stable")
+    found = [r for r in rows if r["kind"] == 1]
+    count, numbers = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    count[order] = np.concatenate([unpack(r["a"]) for r in found])
+    numbers[order] = np.concatenate([unpack(r["b"]) for r in found])
+    return block, count, numbers
+
+
 def pair_owners(u: np.ndarray, w: np.ndarray, hot: tuple[np.ndarray, np.ndarray], buckets: int) -> np.ndarray:
     """The partition of a context, or of one of the parts into which a frequent context is split."""
     at = np.minimum(np.searchsorted(hot[0], u), max(0, len(hot[0]) - 1))
     parts = np.where(hot[0][at] == u, hot[1][at], 1) if len(hot[0]) else np.ones(len(u), np.int64)
-    return ((u + w % parts.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    return (u + (words.mix(w.astype(np.uint64)) % parts.astype(np.uint64)).astype(np.int64)) % buckets
 
 
-def pairs_of(block: dict, hot, buckets: int) -> tuple:
-    """The block's distinct (context, word) pairs by owner and key: context and word places, owners, each token's pair."""
+def pairs_of(block: dict, numbers: np.ndarray, hot, buckets: int) -> tuple:
+    """The block's distinct (context, word) pairs by owner and number: context and word places, owners, each token's pair."""
     n = len(block["known"]) + 1
-    keys = np.append(block["known"], START >> np.uint64(64 - KEY))
+    keys = np.append(numbers, START)
     pair, token = np.unique(block["before"] * n + block["places"], return_inverse=True)
     u, w = pair // n, pair % n
     owner = pair_owners(keys[u], keys[w], hot, buckets)
@@ -169,10 +201,10 @@ def pairs_of(block: dict, hot, buckets: int) -> tuple:
     return u[order], w[order], owner[order], rank[token], keys
 
 
-def pair_requests(row: dict, hot, buckets: int) -> list[tuple]:
-    """Distinct pairs by owner: a: contexts, b: words after each, c: the words' keys, d: training counts."""
-    block = opened(row)
-    u, w, owner, token, keys = pairs_of(block, hot, buckets)
+def pair_requests(rows: list[dict], hot, buckets: int) -> list[tuple]:
+    """Distinct pairs by owner: a: contexts, b: words after each, c: the words' numbers, d: training counts."""
+    block, _, numbers = answered(rows, buckets)
+    u, w, owner, token, keys = pairs_of(block, numbers, hot, buckets)
     counts = np.bincount(token[block["learn"]], minlength=len(u))
     ends = np.searchsorted(owner, np.arange(buckets + 1))
     out = []
@@ -182,7 +214,7 @@ def pair_requests(row: dict, hot, buckets: int) -> list[tuple]:
             continue
         runs = np.flatnonzero(np.append(True, u[part][1:] != u[part][:-1]))
         lengths = np.diff(np.append(runs, ends[k + 1] - ends[k]))
-        out.append((row["block"], k, 2, pack_keys(keys[u[part][runs]]), pack(lengths), pack_keys(keys[w[part]]), pack(counts[part]), None))
+        out.append((rows[0]["block"], k, 2, pack_rising(keys[u[part][runs]]), pack(lengths), pack(keys[w[part]]), pack(counts[part]), None))
     return out
 
 
@@ -257,13 +289,15 @@ def scored(docs: DataFrame, learn, identity: str = "doc_id", buckets: int | None
             keys = [unpack_keys(r["a"]) for r in rows]
             known, place = np.unique(np.concatenate(keys), return_inverse=True)
             total = np.bincount(place, weights=np.concatenate([unpack(r["b"]) for r in rows])).astype(np.int64)
+            numbers, _ = numbered(total, rows[0]["bucket"], buckets)
             ends = np.append(0, np.cumsum([len(k) for k in keys]))
             for k, r in enumerate(rows):
-                yield rows_of([(r["block"], r["bucket"], 1, pack(total[place[ends[k] : ends[k + 1]]]), None, None, None, None)])
+                mine = place[ends[k] : ends[k + 1]]
+                yield rows_of([(r["block"], r["bucket"], 1, pack(total[mine]), pack(numbers[mine]), None, None, None)])
             seen = total > 0
             sums = np.array([total.sum(), seen.sum()], "<i8")
             often = total * SHARE >= max(1, learned)
-            yield rows_of([(None, rows[0]["bucket"], 9, sums.tobytes(), known[often].tobytes(), total[often].tobytes(), None, None)])
+            yield rows_of([(None, rows[0]["bucket"], 9, sums.tobytes(), numbers[often].tobytes(), total[often].tobytes(), None, None)])
 
     counted = written(owned(asked).mapInArrow(count_words, SCHEMA), "word-counts")
 
@@ -281,18 +315,24 @@ def scored(docs: DataFrame, learn, identity: str = "doc_id", buckets: int | None
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b, np.int64)), pa.array(np.frombuffer(c, np.int64))], ["w", "n"])
 
     top = counted.where("kind = 9").select("b", "c").mapInArrow(common, "w bigint, n bigint").toPandas().sort_values("w")
-    top_words, top_counts = top["w"].to_numpy().view(np.uint64) if len(top) else np.zeros(0, np.uint64), top["n"].to_numpy()
+    top_words, top_counts = top["w"].to_numpy() if len(top) else np.zeros(0, np.int64), top["n"].to_numpy()
     # contexts with more than a quarter of a partition's share of the tokens are split
     parts = np.ceil(top_counts * 4.0 * buckets / max(1, tokens)).astype(np.int64) if len(top) else np.zeros(0, np.int64)
     split = parts > 1
     hot_words, hot_parts = top_words[split], parts[split]
     if starts * 4 * buckets > tokens:
-        hot_words = np.append(hot_words, START >> np.uint64(64 - KEY))
+        hot_words = np.append(hot_words, START)
         hot_parts = np.append(hot_parts, int(np.ceil(starts * 4 * buckets / max(1, tokens))))
         order = np.argsort(hot_words)
         hot_words, hot_parts = hot_words[order], hot_parts[order]
     names = spark.sparkContext.broadcast((hot_words, hot_parts, top_words, top_counts))
-    pair_asked = blocks.mapInArrow(lambda b: request(b, pair_requests, names.value[:2], buckets), SCHEMA)
+
+    def request_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in grouped(batches, "block"):
+            yield rows_of(pair_requests(rows, names.value[:2], buckets))
+
+    with_words = blocks.unionByName(counted.where("kind = 1")).repartition("block").sortWithinPartitions("block", "kind", "bucket")
+    pair_asked = with_words.mapInArrow(request_pairs, SCHEMA)
 
     def seat_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, often, count = names.value[:2], names.value[2], names.value[3]
@@ -300,10 +340,9 @@ def scored(docs: DataFrame, learn, identity: str = "doc_id", buckets: int | None
         for rows in grouped(batches, "bucket"):
             bucket = rows[0]["bucket"]
             sizes = [unpack(r["b"]) for r in rows]
-            us = [np.repeat(unpack_keys(r["a"]), s) for r, s in zip(rows, sizes)]
-            u, w = np.concatenate(us), np.concatenate([unpack_keys(r["c"]) for r in rows])
-            pair = words.mix(u ^ (w * np.uint64(0x9E3779B97F4A7C15)))
-            _, first, place = np.unique(pair, return_index=True, return_inverse=True)
+            us = [np.repeat(unpack_rising(r["a"]), s) for r, s in zip(rows, sizes)]
+            u, w = np.concatenate(us), np.concatenate([unpack(r["c"]) for r in rows])
+            _, first, place = np.unique(u * (int(w.max()) + 1) + w, return_index=True, return_inverse=True)
             customers = np.bincount(place, weights=np.concatenate([unpack(r["d"]) for r in rows])).astype(np.int64)
             u, w = u[first], w[first]
             names_u, restaurant = np.unique(u, return_inverse=True)
@@ -325,14 +364,14 @@ def scored(docs: DataFrame, learn, identity: str = "doc_id", buckets: int | None
             seen = customers > 0
             known, place_w = np.unique(w[seen], return_inverse=True)
             guests = np.array([np.bincount(place_w, weights=t[seen], minlength=len(known)) for t in tables]).astype(np.int64).reshape(KEPT, -1)
-            owner = (known % np.uint64(buckets)).astype(np.int64)
+            owner = known % buckets
             order = np.argsort(owner, kind="stable")
             cuts = np.searchsorted(owner[order], np.arange(buckets + 1))
             out = []
             for k in range(buckets):
                 part = order[cuts[k] : cuts[k + 1]]
                 if len(part):
-                    out.append((None, k, 0, pack_keys(known[part]), pack(guests[:, part].ravel()), None, None, None))
+                    out.append((None, k, 0, pack_rising(known[part]), pack(guests[:, part].ravel()), None, None, None))
             yield rows_of(out)
 
     seats = written(owned(pair_asked).mapInArrow(seat_pairs, SCHEMA), "pair-seats")
@@ -340,23 +379,25 @@ def scored(docs: DataFrame, learn, identity: str = "doc_id", buckets: int | None
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
-                name, n = np.frombuffer(a, np.uint64), np.frombuffer(b, "<i8").reshape(KEPT, -1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.tile(name.view(np.int64), KEPT)), pa.array(np.repeat(np.arange(KEPT), len(name))), pa.array(n.ravel())], ["u", "s", "n"])
+                name, n = np.frombuffer(a, np.int64), np.frombuffer(b, "<i8").reshape(KEPT, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(np.tile(name, KEPT)), pa.array(np.repeat(np.arange(KEPT), len(name))), pa.array(n.ravel())], ["u", "s", "n"])
 
     # frequent contexts: at most four parts a partition
     wide = seats.where("kind = 8").select("a", "b").mapInArrow(gather, "u bigint, s bigint, n bigint").groupBy("u", "s").agg(F.sum("n").alias("n")).toPandas()
     wide_tables = np.zeros((KEPT, len(hot_words)), np.int64)
     if len(wide):
-        wide_tables[wide["s"], np.searchsorted(hot_words, wide["u"].to_numpy().view(np.uint64))] = wide["n"]
+        wide_tables[wide["s"], np.searchsorted(hot_words, wide["u"].to_numpy())] = wide["n"]
 
     def seat_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in grouped(batches, "bucket"):
             guests, asks = [r for r in rows if r["kind"] == 0], [r for r in rows if r["kind"] == 1]
             keys = [unpack_keys(r["a"]) for r in asks]
             known, place = np.unique(np.concatenate(keys), return_inverse=True) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            total = np.bincount(place, weights=np.concatenate([unpack(r["b"]) for r in asks]) if asks else None, minlength=len(known))
+            _, order = numbered(total.astype(np.int64), rows[0]["bucket"], buckets)
             customers = np.zeros((KEPT, len(known)), np.int64)
             for r in guests:
-                customers[:, np.searchsorted(known, unpack_keys(r["a"]))] += unpack(r["b"]).reshape(KEPT, -1)
+                customers[:, order[unpack_rising(r["a"]) // buckets - 1]] += unpack(r["b"]).reshape(KEPT, -1)
             tables = []
             for s in range(KEPT):  # the parent's other tables: about one for each known word
                 rng = np.random.default_rng([SEED, s, rows[0]["bucket"]])
@@ -385,20 +426,17 @@ def scored(docs: DataFrame, learn, identity: str = "doc_id", buckets: int | None
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, wide_sums = facts.value[:2], facts.value[2]
         for rows in grouped(batches, "block"):
-            block = opened(rows[0])
-            n = len(block["known"])
-            keys = block["known"]
-            order = np.argsort((keys % np.uint64(buckets)).astype(np.int64), kind="stable")
-            kinds = {k: [r for r in rows if r["kind"] == k] for k in (1, 2, 3)}
-            count = np.empty(n, np.int64)
-            count[order] = np.concatenate([unpack(r["a"]) for r in kinds[1]])
+            block, count, numbers = answered(rows, buckets)
+            n = len(count)
+            order = np.argsort(numbers % buckets, kind="stable")
+            kinds = {k: [r for r in rows if r["kind"] == k] for k in (2, 3)}
             customers, tables = np.empty((KEPT, n)), np.empty((KEPT, n))
             customers[:, order] = np.concatenate([unpack(r["a"]).reshape(KEPT, -1) for r in kinds[3]], axis=1)
             tables[:, order] = np.concatenate([unpack(r["b"]).reshape(KEPT, -1) for r in kinds[3]], axis=1)
             d0, s0 = DISCOUNT[0], STRENGTH[0]
             open0 = (s0 + d0 * parent_tables) / (types + 1)
             word = (customers - d0 * tables + open0[:, None]) / (s0 + parent_customers)[:, None]
-            u, w, owner, token, all_keys = pairs_of(block, hot, buckets)
+            u, w, owner, token, all_keys = pairs_of(block, numbers, hot, buckets)
             c = np.concatenate([unpack(r["a"]) for r in kinds[2]])
             t = np.concatenate([unpack(r["b"]).reshape(KEPT, -1) for r in kinds[2]], axis=1)
             # a run of equal contexts with one owner has one sum

@@ -5,10 +5,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from penprint.llm import pitman_yor as py
+from penprint.llm import words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = {c: c + 32 for c in range(65, 91)}
@@ -57,6 +59,15 @@ def test_seating_follows_the_restaurant_process():
     assert py.seated(rng, np.array([0, 1, 5]), np.full(3, 1e-12), 0.8).tolist() == [0, 1, 1]
 
 
+def test_words_that_share_forty_bits_of_their_hash_stay_apart(spark):
+    a, b = "k1159980", "k2753023"
+    hashes = words.word_hashes(pa.array([a, b]))[0]
+    assert hashes[0] != hashes[1] and hashes[0] >> np.uint64(24) == hashes[1] >> np.uint64(24)
+    rows = [(1, f"{a} x {a}", True), (2, b, False), (3, f"{b} x", False), (4, a, False)]
+    for part in (rows, [*rows, (5, f"{b} y", True)]):
+        check_counts(py.scored(frame(spark, part), F.col("learn"), buckets=3).collect(), part)
+
+
 @pytest.fixture(scope="module")
 def rows():
     rng = random.Random(2)

@@ -36,7 +36,6 @@ SWEEPS, KEPT = 4, 2  # the last KEPT of the sweeps are kept
 SEED = 11
 END = np.uint64(0xE0D0_0000_0000_0001)
 START = 0  # the context at the beginning of a document, beside the words' numbers
-SHARE = 1 << 17  # words with at least this part of all tokens are named to every partition; there are SHARE at most
 SCHEMA = "block bigint, bucket int, kind int, a binary, b binary, c binary, d binary, e binary"
 FIELDS = [("block", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int32()), *((c, pa.binary()) for c in "abcde")]
 
@@ -202,8 +201,9 @@ def pairs_of(block: dict, numbers: np.ndarray, hot, buckets: int) -> tuple:
 
 
 def pair_requests(rows: list[dict], hot, buckets: int) -> list[tuple]:
-    """Distinct pairs by owner: a: contexts, b: words after each, c: the words' numbers, d: training counts."""
-    block, _, numbers = answered(rows, buckets)
+    """Distinct pairs by owner: a: contexts, b: words after each, c: the distinct words' numbers, then their training
+    counts, d: training counts of the pairs, e: the place of each pair's word."""
+    block, total, numbers = answered(rows, buckets)
     u, w, owner, token, keys = pairs_of(block, numbers, hot, buckets)
     counts = np.bincount(token[block["learn"]], minlength=len(u))
     ends = np.searchsorted(owner, np.arange(buckets + 1))
@@ -214,7 +214,9 @@ def pair_requests(rows: list[dict], hot, buckets: int) -> list[tuple]:
             continue
         runs = np.flatnonzero(np.append(True, u[part][1:] != u[part][:-1]))
         lengths = np.diff(np.append(runs, ends[k + 1] - ends[k]))
-        out.append((rows[0]["block"], k, 2, pack_rising(keys[u[part][runs]]), pack(lengths), pack(keys[w[part]]), pack(counts[part]), None))
+        follow, first, place = np.unique(keys[w[part]], return_index=True, return_inverse=True)
+        follow = pack(np.append(np.diff(follow, prepend=0), total[w[part][first]]))
+        out.append((rows[0]["block"], k, 2, pack_rising(keys[u[part][runs]]), pack(lengths), follow, pack(counts[part]), pack(place)))
     return out
 
 
@@ -296,7 +298,7 @@ def scored(docs: DataFrame, learn, identity: str = "doc_id", buckets: int | None
                 yield rows_of([(r["block"], r["bucket"], 1, pack(total[mine]), pack(numbers[mine]), None, None, None)])
             seen = total > 0
             sums = np.array([total.sum(), seen.sum()], "<i8")
-            often = total * SHARE >= max(1, learned)
+            often = total * 4 * buckets > learned
             yield rows_of([(None, rows[0]["bucket"], 9, sums.tobytes(), numbers[often].tobytes(), total[often].tobytes(), None, None)])
 
     counted = written(owned(asked).mapInArrow(count_words, SCHEMA), "word-counts")
@@ -314,40 +316,39 @@ def scored(docs: DataFrame, learn, identity: str = "doc_id", buckets: int | None
             for b, c in zip(batch.column("b").to_pylist(), batch.column("c").to_pylist()):
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b, np.int64)), pa.array(np.frombuffer(c, np.int64))], ["w", "n"])
 
-    top = counted.where("kind = 9").select("b", "c").mapInArrow(common, "w bigint, n bigint").toPandas().sort_values("w")
-    top_words, top_counts = top["w"].to_numpy() if len(top) else np.zeros(0, np.int64), top["n"].to_numpy()
     # contexts with more than a quarter of a partition's share of the tokens are split
-    parts = np.ceil(top_counts * 4.0 * buckets / max(1, tokens)).astype(np.int64) if len(top) else np.zeros(0, np.int64)
-    split = parts > 1
-    hot_words, hot_parts = top_words[split], parts[split]
+    top = counted.where("kind = 9").select("b", "c").mapInArrow(common, "w bigint, n bigint").toPandas().sort_values("w")
+    hot_words, hot_parts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if len(top):
+        hot_words, hot_parts = top["w"].to_numpy(), np.ceil(top["n"].to_numpy() * 4.0 * buckets / max(1, tokens)).astype(np.int64)
     if starts * 4 * buckets > tokens:
         hot_words = np.append(hot_words, START)
         hot_parts = np.append(hot_parts, int(np.ceil(starts * 4 * buckets / max(1, tokens))))
         order = np.argsort(hot_words)
         hot_words, hot_parts = hot_words[order], hot_parts[order]
-    names = spark.sparkContext.broadcast((hot_words, hot_parts, top_words, top_counts))
+    names = spark.sparkContext.broadcast((hot_words, hot_parts))
 
     def request_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in grouped(batches, "block"):
-            yield rows_of(pair_requests(rows, names.value[:2], buckets))
+            yield rows_of(pair_requests(rows, names.value, buckets))
 
     with_words = blocks.unionByName(counted.where("kind = 1")).repartition("block").sortWithinPartitions("block", "kind", "bucket")
     pair_asked = with_words.mapInArrow(request_pairs, SCHEMA)
 
     def seat_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, often, count = names.value[:2], names.value[2], names.value[3]
-        rest = max(1, tokens - int(count.sum())) / max(1, types - len(count))
+        hot = names.value
         for rows in grouped(batches, "bucket"):
             bucket = rows[0]["bucket"]
             sizes = [unpack(r["b"]) for r in rows]
             us = [np.repeat(unpack_rising(r["a"]), s) for r, s in zip(rows, sizes)]
-            u, w = np.concatenate(us), np.concatenate([unpack(r["c"]) for r in rows])
+            follow = [unpack(r["c"]).reshape(2, -1) for r in rows]  # words and their counts in the whole training part
+            at = [unpack(r["e"]) for r in rows]
+            u, w = np.concatenate(us), np.concatenate([np.cumsum(f[0])[a] for f, a in zip(follow, at)])
+            parent = np.concatenate([f[1][a] for f, a in zip(follow, at)]) / max(1, tokens)
             _, first, place = np.unique(u * (int(w.max()) + 1) + w, return_index=True, return_inverse=True)
             customers = np.bincount(place, weights=np.concatenate([unpack(r["d"]) for r in rows])).astype(np.int64)
-            u, w = u[first], w[first]
+            u, w, parent = u[first], w[first], parent[first]
             names_u, restaurant = np.unique(u, return_inverse=True)
-            at = np.minimum(np.searchsorted(often, w), max(0, len(often) - 1))
-            parent = np.where(often[at] == w, count[at], rest) / max(1, tokens) if len(often) else np.full(len(w), 1 / max(1, types + 1))
             at = np.minimum(np.searchsorted(hot[0], u), max(0, len(hot[0]) - 1))
             many = np.where(hot[0][at] == u, hot[1][at], 1) if len(hot[0]) else np.ones(len(u), np.int64)
             tables = sampled(SEED * 1_000_003 + bucket, restaurant, many, customers, parent, DISCOUNT[1], STRENGTH[1]).astype(np.int64)

@@ -111,6 +111,26 @@ def test_probabilities_of_all_words_add_up_to_one(spark, rows):
     assert all(out[2000 + k] < 1 for k in range(len(known)))
 
 
+def test_every_word_has_its_own_parent_probability_at_any_size(spark, monkeypatch, tmp_path):
+    def sampled(seed, restaurant, parts, customers, parent, discount, strength, inner=py.sampled):
+        np.save(tmp_path / f"{seed}.npy", np.array([customers, parent]))
+        return inner(seed, restaurant, parts, customers, parent, discount, strength)
+
+    monkeypatch.setattr(py, "sampled", sampled)
+    rare = [f"r{k}" for k in range(30)]
+    learn = [(0, "w1 " * 300000, True), *((k + 1, f"w1 {w} " * (k % 4 + 1), True) for k, w in enumerate(rare))]
+    py.scored(frame(spark, [*learn, (99, "r3 unseen r5", False)]), F.col("learn"), buckets=5).collect()
+    count, pairs = Counter(), Counter()
+    for _, t, _ in learn:
+        w = tokens_of(t)
+        count.update(w)
+        pairs.update(zip(["start", *w[:-1]], w) if w else ())
+    want = sorted((n, count[w] / sum(count.values())) for (_, w), n in pairs.items())
+    saved = np.concatenate([np.load(f) for f in tmp_path.glob("*.npy")], axis=1)
+    got = sorted((int(n), p) for n, p in saved.T if n)
+    assert [n for n, _ in got] == [n for n, _ in want] and np.allclose([p for _, p in got], [p for _, p in want], rtol=1e-12)
+
+
 def test_nothing_to_learn_and_empty_tables(spark, rows):
     none = [(i, t, False) for i, t, _ in rows]
     out = py.scored(frame(spark, none), F.col("learn")).collect()

@@ -5,7 +5,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from checks import model_queries
 from penprint.functions import fixed
+from penprint.operators import vectors
 from penprint.operators.vectors import TruncatedSvd, count_stage
 from penprint.plans import classifiers
 from penprint.sources import books
@@ -28,6 +30,32 @@ def test_svd_matches_numpy_and_is_saved(spark, tmp_path):
         assert np.allclose(np.array([got[i] for i in range(60)]), matrix @ model.vectors)
 
 
+def test_variance_curve_is_that_of_all_columns_of_wide_rows(spark):
+    rng = np.random.default_rng(5)
+    matrix = np.zeros((50, 70000))
+    matrix[:, ::700] = (rng.random((50, 100)) < 0.3) * rng.integers(1, 9, (50, 100))
+    df = spark.createDataFrame([(Vectors.sparse(70000, [(int(j), float(r[j])) for j in np.flatnonzero(r)]),) for r in matrix], ["v"])
+    values = np.linalg.svd((matrix - matrix.mean(axis=0))[:, ::700], compute_uv=False) ** 2
+    got = [r["explained"] for r in vectors.explained_curve(df, [1, 3, 10], "v").orderBy("k").collect()]
+    assert np.allclose(got, [values[:k].sum() / values.sum() for k in (1, 3, 10)], atol=1e-3)
+
+
+def test_variance_query_takes_the_whole_bag_of_words(spark, small, monkeypatch):
+    seen = {}
+
+    def curve(df, ks, source):
+        out = vectors.explained_curve(df, ks, source)
+        seen.update(rows=np.array([r[0].toArray() for r in df.select(source).collect()]), shares={r["k"]: r["explained"] for r in out.collect()})
+        return out
+
+    monkeypatch.setattr(model_queries, "explained_curve", curve)
+    assert [tuple(r) for r in model_queries.pca_variance(spark, small).orderBy("k").collect()] == [(k, True) for k in (10, 20, 30, 40, 50)]
+    values = np.linalg.svd(seen["rows"] - seen["rows"].mean(axis=0), compute_uv=False) ** 2
+    assert seen["rows"].shape[1] > 50 and max(seen["shares"]) == 500
+    for k, share in seen["shares"].items():
+        assert abs(share - values[:k].sum() / values.sum()) < 1e-3
+
+
 @pytest.mark.parametrize("max_df", [0.5, 0.75, 1.0])
 @pytest.mark.parametrize("min_df", [1, 2, 0.5, 1.0])
 def test_document_frequencies_are_shares_or_counts(spark, min_df, max_df):

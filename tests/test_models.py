@@ -1,9 +1,11 @@
+import inspect
 import os
 
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from checks import model_queries
 from penprint.functions import fixed
 from penprint.operators import evaluate, splits, topics
 from penprint.operators.catalogue import encode_labels
@@ -168,3 +170,28 @@ def test_usage_stream_resumes(spark, small, tmp_path):
     found = stream_usage.read_windows(spark, out).agg(F.sum("n_signups"), F.sum("n_requests"), F.sum("n_ratings")).first()
     kinds = {r["event_type"]: r["count"] for r in events.groupBy("event_type").count().collect()}
     assert tuple(found) == (kinds["signup"], kinds["click"] + kinds["view"], kinds["purchase"])
+
+
+@pytest.mark.parametrize("name, target, function", [
+    ("svm_rbf_scores", model_queries, "fit_classifier"), ("random_search", model_queries.search, "random_search"), ("training_run", model_queries, "train"),
+])
+def test_model_queries_ask_for_whole_searches_and_vocabularies(spark, small, monkeypatch, table, name, target, function):
+    class Asked(Exception):
+        pass
+
+    signature = inspect.signature(getattr(target, function))
+
+    def asked(*args, **options):
+        given = signature.bind(*args, **options)
+        given.apply_defaults()
+        raise Asked(given.arguments)
+
+    monkeypatch.setattr(target, function, asked)
+    monkeypatch.setattr(model_queries, "prepared", lambda spark, folder: (table, INPUTS))
+    with pytest.raises(Asked) as found:
+        getattr(model_queries, name)(spark, small)
+    given = found.value.args[0]
+    held = given.get("fixed_params") or given.get("params") or {}
+    assert not {"vectorizer__max_features", "vectorizer__ngram_range", "model__max_iter"} & set(held)
+    if name != "svm_rbf_scores":
+        assert (given["n_iter"], given["k"]) == (10, 5)

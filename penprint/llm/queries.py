@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from penprint.llm import compression, decontaminate, mixing, near, pages, pitman_yor, records, revisits, toxicity, vectors
+from penprint.llm import collocations, compression, decontaminate, mixing, near, pages, pitman_yor, records, revisits, toxicity, vectors
 
 QUERIES = {
     "op1_pages": pages.op1_pages,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_pitman_yor": pitman_yor.op8_pitman_yor,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_vectors": vectors.op10_vectors,
+    "op11_collocations": collocations.op11_collocations,
 }
 
 ORACLES = {
     "op3_revisits": revisits.SQL,
     "op4_mix": mixing.SQL,
+    "op11_collocations": collocations.SQL,
 }

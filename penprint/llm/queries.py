@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from penprint.llm import collocations, compression, decontaminate, mixing, near, pages, pitman_yor, records, revisits, toxicity, vectors
+from penprint.llm import collocations, compression, decontaminate, mixing, near, pages, pitman_yor, records, revisits, rules, toxicity, vectors
 
 QUERIES = {
     "op1_pages": pages.op1_pages,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_vectors": vectors.op10_vectors,
     "op11_collocations": collocations.op11_collocations,
+    "op12_rules": rules.op12_rules,
 }
 
 ORACLES = {
     "op3_revisits": revisits.SQL,
     "op4_mix": mixing.SQL,
     "op11_collocations": collocations.SQL,
+    "op12_rules": rules.SQL,
 }

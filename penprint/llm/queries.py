@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from penprint.llm import collocations, compression, decontaminate, mixing, near, pages, pitman_yor, records, revisits, rules, toxicity, vectors
+from penprint.llm import collocations, compression, decontaminate, mixing, near, pages, pitman_yor, records, repair, revisits, rules, toxicity, vectors
 
 QUERIES = {
     "op1_pages": pages.op1_pages,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_vectors": vectors.op10_vectors,
     "op11_collocations": collocations.op11_collocations,
     "op12_rules": rules.op12_rules,
+    "op13_repair": repair.op13_repair,
 }
 
 ORACLES = {
@@ -24,4 +25,5 @@ ORACLES = {
     "op4_mix": mixing.SQL,
     "op11_collocations": collocations.SQL,
     "op12_rules": rules.SQL,
+    "op13_repair": repair.SQL,
 }

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.oracles import LEXICON, ORACLES, TAGS, WORDS, tokens_of
+from checks.oracles import LEXICON, ORACLES, POS_STATS, TAGS, WORDS, _n as TAG_COLUMNS, q, split_sentences
 from checks.workload import LETTERS, WORD, docs, query
 from penprint.functions import fixed, text as T
-from penprint.operators import guesser, lexicon, scale
+from penprint.operators import guesser, lexicon, pos, scale, tagger
 
 #: Made-up readings that follow from the last two letters of a form; those of three forms in four are known.
 ENDING_WORDS = rf"""
@@ -101,3 +101,87 @@ FROM guessed g JOIN truth t USING (form) GROUP BY 1"""
 _COMPLETED = f"{_GUESSED}, lexicon AS (SELECT * FROM known UNION ALL SELECT form, lemma, tag, gr FROM guessed)"
 for _name in ("lemmatized_text", "grammar_codes"):
     ORACLES[_name.replace("_text", "") + "_guessed"] = ORACLES[_name].replace(LEXICON, _COMPLETED)
+
+
+# tags in context
+
+
+def tagged_sentences(df: DataFrame) -> DataFrame:
+    """Sentences with made-up tags; every third word's tag also hangs on the length of the word before it."""
+    sents = scale.unnest(scale.balanced(df), ["doc_id"], T.sentences("text"), "sentence", "pos")
+    sents = sents.select("doc_id", "pos", T.word_tokens("sentence", WORD).alias("forms"))
+    lengths = F.transform("forms", lambda w: F.length(w))
+    before = F.zip_with("forms", F.slice(F.concat(F.array(F.lit(0)), lengths), F.lit(1), F.greatest(F.size("forms"), F.lit(1))), lambda w, n: F.struct(w.alias("w"), n.alias("n")))
+
+    def tag(x):
+        code = F.conv(F.substring(F.md5(F.right(x["w"], F.lit(2)).cast("binary")), 1, 2), 16, 10).cast("int")
+        odd = F.when(F.length(x["w"]) % 3 == 0, x["n"] % 2).otherwise(0)
+        return F.element_at(F.array(*[F.lit(t) for t in fixed.RATIO_TAGS]), (code + odd) % 8 + 1)
+
+    tags = F.transform(F.filter(before, lambda x: x["w"].isNotNull()), tag)
+    return scale.settled(sents.select("doc_id", "pos", "forms", tags.alias("tags")))
+
+
+@query
+def tags_in_context(spark: SparkSession, folder: str) -> DataFrame:
+    truth = tagged_sentences(docs(spark, folder))
+    found = tagger.tag_sentences(truth, tagger.learn(truth), "doc_id", out="found")
+    return found.select("doc_id", "pos", F.array_join("found", " ").alias("tags"))
+
+
+@query
+def tag_steps(spark: SparkSession, folder: str) -> DataFrame:
+    model = tagger.learn(tagged_sentences(docs(spark, folder)))
+    names = [*model.tags, "."]
+    rows = [(a, b, int(model.steps[i, j])) for i, a in enumerate(names) for j, b in enumerate(names)]
+    return spark.createDataFrame(rows, "tag string, next string, cost bigint")
+
+
+@query
+def pos_stats_in_context(spark: SparkSession, folder: str) -> DataFrame:
+    table = docs(spark, folder)
+    truth = tagged_sentences(table)
+    found = tagger.tag_sentences(truth, tagger.learn(truth), "doc_id", out="found")
+    out = pos.tag_ratios(tagger.word_rows(found, "doc_id", tags="found"), "doc_id")
+    return out.select("doc_id", *[F.round(c, 6).alias(c) for c in pos.POS_STATS])
+
+
+_TRAIN = rf"""
+sents AS (
+  SELECT doc_id, CAST(unnest(range(len(l))) AS INTEGER) AS pos, unnest([regexp_extract_all(lower(s), '\p{{L}}+') FOR s IN l]) AS forms
+  FROM (SELECT doc_id, {split_sentences("text")} AS l FROM documents)),
+words AS (
+  SELECT doc_id, pos, i, form, {TAGS}[1 + (('0x' || substr(md5(right(form, 2)), 1, 2))::BIGINT + CASE WHEN length(form) % 3 = 0 THEN before % 2 ELSE 0 END) % 8] AS tag
+  FROM (SELECT doc_id, pos, i, forms[i] AS form, CASE WHEN i = 1 THEN 0 ELSE length(forms[i - 1]) END AS before
+        FROM (SELECT *, unnest(range(1, len(forms) + 1)) AS i FROM sents))),
+formtag AS (SELECT form, tag, count(*) AS n FROM words GROUP BY ALL),
+totals AS (SELECT tag, sum(n) AS total FROM formtag GROUP BY tag),
+emit AS (SELECT form, tag, CAST(round(-ln(n::DOUBLE / total) * 1000000) AS BIGINT) AS c FROM formtag JOIN totals USING (tag)),
+moves AS (
+  SELECT coalesce(lag(tag) OVER w, '.') AS tag, tag AS next FROM words WINDOW w AS (PARTITION BY doc_id, pos ORDER BY i)
+  UNION ALL SELECT tag, '.' FROM words QUALIFY row_number() OVER (PARTITION BY doc_id, pos ORDER BY i DESC) = 1),
+names AS (SELECT DISTINCT tag FROM words UNION ALL SELECT '.'),
+steps AS (
+  SELECT a.tag, b.tag AS next, CAST(round(-ln((count(m.tag) + 1)::DOUBLE / (sum(count(m.tag)) OVER (PARTITION BY a.tag) + (SELECT count(*) FROM names))) * 1000000) AS BIGINT) AS cost
+  FROM names a CROSS JOIN names b LEFT JOIN moves m ON m.tag = a.tag AND m.next = b.tag GROUP BY a.tag, b.tag)"""
+_PATHS = f"""{_TRAIN},
+best AS (
+  SELECT w.doc_id, w.pos, w.i, e.tag, {{'cost': s.cost + e.c, 'before': '', 'path': e.tag}} AS b
+  FROM words w JOIN emit e USING (form) JOIN steps s ON s.tag = '.' AND s.next = e.tag WHERE w.i = 1
+  UNION ALL
+  SELECT w.doc_id, w.pos, w.i, e.tag, min({{'cost': b.b.cost + s.cost + e.c, 'before': b.tag, 'path': b.b.path || ' ' || e.tag}})
+  FROM best b JOIN words w ON w.doc_id = b.doc_id AND w.pos = b.pos AND w.i = b.i + 1
+  JOIN emit e ON e.form = w.form JOIN steps s ON s.tag = b.tag AND s.next = e.tag GROUP BY w.doc_id, w.pos, w.i, e.tag),
+done AS (
+  SELECT b.doc_id, b.pos, min({{'cost': b.b.cost + s.cost, 'tag': b.tag, 'path': b.b.path}}) AS b
+  FROM best b JOIN (SELECT doc_id, pos, max(i) AS n FROM words GROUP BY ALL) l ON l.doc_id = b.doc_id AND l.pos = b.pos AND l.n = b.i
+  JOIN steps s ON s.tag = b.tag AND s.next = '.' GROUP BY ALL)"""
+ORACLES["tag_steps"] = f"WITH {_TRAIN} SELECT tag, next, cost FROM steps"
+ORACLES["tags_in_context"] = f"""
+WITH RECURSIVE {_PATHS} SELECT s.doc_id, s.pos, coalesce(d.b.path, '') AS tags FROM sents s LEFT JOIN done d USING (doc_id, pos)"""
+_FOUND = "tagged AS (SELECT doc_id, unnest(string_split(b.path, ' ')) AS tag FROM done)"
+_TAGGED = ", ".join(f"count(*) FILTER (WHERE tag = {q(t)}) AS {c}" for t, c in TAG_COLUMNS.items())
+ORACLES["pos_stats_in_context"] = f"""
+WITH RECURSIVE {_PATHS}, {_FOUND},
+tag_counts AS (SELECT s.doc_id, count(tag) AS n_all, {_TAGGED} FROM (SELECT DISTINCT doc_id FROM sents) s LEFT JOIN tagged USING (doc_id) GROUP BY s.doc_id)
+SELECT doc_id, {POS_STATS} FROM tag_counts"""

@@ -69,7 +69,11 @@ def pos_stats(
     pattern: str = fixed.CYRILLIC_WORD,
 ) -> DataFrame:
     """Ratios between part-of-speech counts; zero where either side is zero."""
-    tagged = tagged_words(df, lexicon, [doc], text, pattern)
+    return tag_ratios(tagged_words(df, lexicon, [doc], text, pattern), doc)
+
+
+def tag_ratios(tagged: DataFrame, doc: str) -> DataFrame:
+    """The ratios from rows (doc, token, tag)."""
     counted = tag_counts(tagged, [doc], fixed.RATIO_TAGS)
     return counted.select(doc, *[ratio.alias(name) for name, ratio in _ratios().items()])
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.oracles import LEXICON, ORACLES, POS_STATS, TAGS, WORDS, _n as TAG_COLUMNS, q, split_sentences
+from checks.oracles import LEXICON, ORACLES, POS_STATS, TAGS, WORDS, _n as TAG_COLUMNS, q, repaired, split_sentences
 from checks.workload import LETTERS, WORD, docs, query
 from penprint.functions import fixed, text as T
-from penprint.operators import guesser, lexicon, pos, scale, tagger
+from penprint.operators import borders, guesser, lexicon, pos, scale, tagger
 
 #: Made-up readings that follow from the last two letters of a form; those of three forms in four are known.
 ENDING_WORDS = rf"""
@@ -185,3 +185,98 @@ ORACLES["pos_stats_in_context"] = f"""
 WITH RECURSIVE {_PATHS}, {_FOUND},
 tag_counts AS (SELECT s.doc_id, count(tag) AS n_all, {_TAGGED} FROM (SELECT DISTINCT doc_id FROM sents) s LEFT JOIN tagged USING (doc_id) GROUP BY s.doc_id)
 SELECT doc_id, {POS_STATS} FROM tag_counts"""
+
+
+# trained sentence borders
+
+
+@query
+def abbreviation_scores(spark: SparkSession, folder: str) -> DataFrame:
+    scores = borders.type_scores(borders.tokens_of(docs(spark, folder)))
+    return scores.select("type", "with_dot", "without", (F.round("score", 5) + 0.0).alias("score"))
+
+
+@query
+def border_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    tokens = borders.tokens_of(docs(spark, folder))
+    short = scale.settled(borders.type_scores(tokens).where(F.col("score") >= borders.ABBREVIATION))
+    pairs, starters = borders.pair_scores(tokens, short)
+    pairs = pairs.select("type", "next", "n", F.round("score", 5).alias("score"), "more")
+    return pairs.unionByName(starters.select(F.lit("").alias("type"), "next", "n", F.round("score", 5).alias("score"), "more"))
+
+
+@query
+def trained_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    table = docs(spark, folder)
+    return borders.split_sentences(table, borders.train(table), "doc_id")
+
+
+def _core(sql: str) -> str:
+    openers, closers = (q(x) for x in (borders._OPENERS, borders._CLOSERS))
+    return f"regexp_replace(regexp_replace({sql}, {openers}, ''), {closers}, '')"
+
+
+def _type(sql: str) -> str:
+    return rf"CASE WHEN regexp_matches({sql}, '^[+-]?\p{{Nd}}[\p{{Nd}}.,]*$') THEN '##' ELSE lower(regexp_replace({sql}, '\.$', '')) END"
+
+
+_LIST = f"[w FOR w IN string_split(trim({repaired('text')}, ' '), ' ') IF w <> '']"
+_TOKENS = rf"""
+toklist AS (SELECT doc_id, {_LIST} AS w FROM documents),
+raw AS (SELECT doc_id, i, w[i] AS token, {_core('w[i]')} AS a, {_core('w[i + 1]')} AS b FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM toklist)),
+toks AS (
+  SELECT doc_id, i, token, {_type('a')} AS type, suffix(a, '.') AS dot, regexp_matches(a, '[!?…]$') AS mark, {_type('b')} AS next,
+         substr(b, 1, 1) <> lower(substr(b, 1, 1)) AS next_upper, substr(b, 1, 1) <> upper(substr(b, 1, 1)) AS next_lower
+  FROM raw),
+kinds AS (SELECT type, count(*) FILTER (dot)::BIGINT AS with_dot, count(*) FILTER (NOT dot)::BIGINT AS without FROM toks GROUP BY type),
+every AS (SELECT sum(with_dot)::DOUBLE / sum(with_dot + without) AS p, sum(with_dot + without)::BIGINT AS total FROM kinds),
+shaped AS (SELECT *, length(type) - length(replace(type, '.', '')) AS inner_dots, length(replace(type, '.', '')) AS letters FROM kinds
+  WHERE with_dot > 0 AND regexp_matches(type, '\p{{L}}') AND NOT regexp_matches(type, '\p{{Nd}}')),
+scores AS (
+  SELECT type, with_dot, without,
+         -2 * ((with_dot * ln(p) + CASE WHEN without > 0 THEN without * ln(1 - p) ELSE 0 END) - (with_dot * ln(0.99::DOUBLE) + without * ln(1 - 0.99::DOUBLE)))
+         * exp(-letters) * (inner_dots + 1) * pow(letters, -without) AS score
+  FROM shaped, every)"""
+
+
+def _ratio(a: str, b: str, both: str, n: str) -> str:
+    def part(k: str, m: str, p: str) -> str:
+        return f"(CASE WHEN {k} > 0 THEN ({k}) * ln({p}) ELSE 0 END + CASE WHEN ({m}) - ({k}) > 0 THEN (({m}) - ({k})) * ln(1 - {p}) ELSE 0 END)"
+
+    rest, other = f"({b} - {both})", f"({n} - {a})"
+    p, p1, p2 = f"({b}::DOUBLE / {n})", f"({both}::DOUBLE / {a})", f"({rest}::DOUBLE / {other})"
+    return f"-2 * ({part(both, a, p)} + {part(rest, other, p)} - {part(both, a, p1)} - {part(rest, other, p2)})"
+
+
+_PAIRS = rf"""{_TOKENS},
+shorts AS (SELECT t.*, coalesce(s.score >= 0.3, false) OR t.type = '##' OR regexp_matches(t.type, '^\p{{L}}$') AS short FROM toks t LEFT JOIN scores s USING (type)),
+by_type AS (SELECT type, count(*)::BIGINT AS n_type FROM toks GROUP BY type),
+by_next AS (SELECT next, count(*)::BIGINT AS n_next FROM toks WHERE next IS NOT NULL GROUP BY next),
+across AS (SELECT type, next, count(*)::BIGINT AS n FROM shorts WHERE dot AND short AND regexp_matches(next, '\p{{L}}') GROUP BY type, next),
+collocs AS (
+  SELECT type, next, n, {_ratio('n_type', 'n_next', 'n', 'total')} AS score, n * total > n_type * n_next AS more
+  FROM across JOIN by_type USING (type) JOIN by_next USING (next), every),
+ends AS (SELECT next FROM shorts WHERE (mark OR dot AND NOT short) AND next IS NOT NULL),
+starts AS (
+  SELECT next, n, {_ratio('n_ends', 'n_next', 'n', 'total')} AS score, n * total > n_ends * n_next AS more
+  FROM (SELECT next, count(*)::BIGINT AS n FROM ends WHERE regexp_matches(next, '^\p{{L}}+$') GROUP BY next) JOIN by_next USING (next),
+       every, (SELECT count(*)::BIGINT AS n_ends FROM ends))"""
+ORACLES["abbreviation_scores"] = f"WITH {_TOKENS} SELECT type, with_dot, without, round(score, 5) + 0.0::DOUBLE AS score FROM scores"
+ORACLES["border_pairs"] = f"""
+WITH {_PAIRS} SELECT type, next, n, round(score, 5) AS score, more FROM collocs
+UNION ALL SELECT '', next, n, round(score, 5), more FROM starts"""
+ORACLES["trained_sentences"] = rf"""
+WITH {_PAIRS},
+shapes AS (
+  SELECT next, bool_or(next_lower) AS small, bool_or(NOT dot AND NOT mark AND next_upper) AS inside FROM toks WHERE regexp_matches(next, '^\p{{L}}') GROUP BY next),
+cuts AS (
+  SELECT t.doc_id, t.i, t.token,
+         regexp_matches(t.token, '[.!?…]["»”“'')\]]{{0,3}}$') AND CASE
+           WHEN NOT t.dot THEN true WHEN c.type IS NOT NULL THEN false WHEN NOT t.short THEN true WHEN t.type = '##' THEN NOT t.next_lower
+           WHEN length(t.type) = 1 THEN t.next_upper AND coalesce(s.small, false) AND NOT coalesce(s.inside, false)
+           ELSE t.next_upper AND (b.next IS NOT NULL OR coalesce(s.small, false) AND NOT coalesce(s.inside, false)) END AS holds
+  FROM shorts t LEFT JOIN (SELECT type, next FROM collocs WHERE score >= 7.88 AND more) c ON c.type = t.type AND c.next = t.next
+  LEFT JOIN (SELECT next FROM starts WHERE score >= 30 AND more) b ON b.next = t.next LEFT JOIN shapes s ON s.next = t.next)
+SELECT doc_id, CAST(g AS INTEGER) AS pos, string_agg(token, ' ' ORDER BY i) AS sentence FROM (
+  SELECT doc_id, i, token, coalesce(sum(CASE WHEN holds THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g
+  FROM cuts) GROUP BY doc_id, g"""

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from penprint.operators import catalogue, chunking, inference, lexicon, pos, scale, splits, terms, topics
+from penprint.operators import boosting, catalogue, chunking, inference, lexicon, pos, scale, splits, terms, topics
 from penprint.operators.extractor import stat_columns
 from penprint.operators.vectors import TruncatedSvd, count_stage, explained_curve, with_class_weights
 from penprint.plans import classifiers, search
@@ -141,6 +142,41 @@ def gbt_scores(spark, folder):
     return outcome(spark, folder, model.transform(table))
 
 
+def _mark_features(spark, folder) -> DataFrame:
+    """Documents with counts of marks and words as a vector, and the language as label."""
+    table = scale.balanced(docs(spark, folder)).select("doc_id", "lang", "text")
+    counts = [F.regexp_count("text", F.lit(p)).cast("double") for p in (r"[.]", r"[,]", r"[!?]", r"\n", r"\p{Lu}", r"[^\x00-\x7F]", r"\p{Nd}", r"[|#$%&*]")]
+    words = F.size(T.word_tokens("text", WORD)).cast("double")
+    coded = catalogue.encode_labels(table.withColumn("x", F.array(*counts, words)).drop("text"), "lang", "label")
+    return scale.settled(coded.withColumn("label", F.col("label").cast("double")))
+
+
+@query
+def boost_first_borders(spark, folder):
+    """The best border of every feature for the first level, over given borders: gains of the log loss with l2 of one."""
+    rows = _mark_features(spark, folder).select("x", F.col("label").cast("int").alias("label"), F.lit(1.0).alias("weight"))
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    start = np.log([counts[k] / sum(counts.values()) for k in range(len(counts))])
+    borders = [np.array([0.0, 1, 2, 5, 10, 20, 50, 100, 200, 500, 1000])] * 9
+    found, _, _ = boosting.best_borders(boosting.state_of(rows, borders, start), [], boosting.Tree(), [12] * 9, len(counts), 1.0)
+    return spark.createDataFrame([(b.feature, float(borders[0][b.bin]), round(b.gain, 6)) for b in found], "feature int, border double, gain double")
+
+
+@query
+def softmax_boost_scores(spark, folder):
+    """Thirty rounds of trees for four classes at once; the training loss falls in every round."""
+    table = _mark_features(spark, folder).withColumn("vec", array_to_vector("x"))
+    table = scale.settled(splits.stratified_holdout(table, "lang", "doc_id"))
+    params = {"iterations": 30, "learning_rate": 0.125, "max_depth": 3, "l2_leaf_reg": 0.163}
+    model = classifiers.softmax_boosted("vec", params).fit(table.where("split = 'train'"))
+    rows = outcome(spark, folder, model.transform(table), probabilities="probability")
+    held = scale.settled(model.transform(table.where("split = 'test'")))
+    most = held.groupBy("label").count().agg(F.max("count") / F.sum("count")).first()[0]
+    better = held.agg(F.avg((F.col("label") == F.col("prediction")).cast("int"))).first()[0] > most
+    falling = all(b <= a for a, b in zip(model.losses, model.losses[1:]))
+    return rows.withColumns({"falling": F.lit(falling and len(model.trees) == 30), "held_out_better": F.lit(bool(better))})
+
+
 @query
 def soft_vote(spark, folder):
     table, inputs = prepared(spark, folder)

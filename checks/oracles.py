@@ -666,6 +666,22 @@ WITH {HASHED}, l AS (
 SELECT doc_id, split, label, true AS known, true AS bounded, true AS learned"""
 for _name in ("lr", "nb", "svm", "svm_rbf", "knn", "rf", "gbt"):
     ORACLES[f"{_name}_scores"] = f"{_LABELLED} FROM l"
+_FEATURES = [r"[.]", r"[,]", r"[!?]", r"\n", r"\p{Lu}", r"[^\x00-\x7F]", r"\p{Nd}", r"[|#$%&*]"]
+_counts = ", ".join(f"len(regexp_extract_all(text, {q(p)}))" for p in _FEATURES)
+ORACLES["boost_first_borders"] = f"""
+WITH d AS (SELECT CAST(dense_rank() OVER (ORDER BY lang) AS INTEGER) AS c, [{_counts}, len({WORDS})] AS x FROM documents),
+v AS (SELECT c, unnest(range(9))::INTEGER AS feature, unnest(x) AS v FROM d),
+prior AS (SELECT c, count(*)::DOUBLE / sum(count(*)) OVER () AS p, count(*) AS n, sum(count(*)) OVER () AS total FROM d GROUP BY c),
+b AS (SELECT unnest([0, 1, 2, 5, 10, 20, 50, 100, 200, 500, 1000])::DOUBLE AS border),
+l AS (SELECT feature, border, c, count(*) FILTER (v <= border) AS n_c FROM v, b GROUP BY ALL),
+s AS (SELECT *, sum(n_c) OVER (PARTITION BY feature, border) AS n_left FROM l),
+g AS (
+  SELECT feature, border, sum(
+    pow(n_left * p - n_c, 2) / (2 * p * (1 - p) * n_left + 1) + pow((total - n_left) * p - (n - n_c), 2) / (2 * p * (1 - p) * (total - n_left) + 1)) AS gain
+  FROM s JOIN prior USING (c) GROUP BY ALL)
+SELECT feature, border, round(gain, 6) AS gain FROM g
+QUALIFY row_number() OVER (PARTITION BY feature ORDER BY round(gain, 9) DESC, border) = 1"""
+ORACLES["softmax_boost_scores"] = f"{_LABELLED}, true AS falling, true AS held_out_better FROM l"
 ORACLES["soft_vote"] = f"{_LABELLED} FROM l"
 ORACLES["training_run"] = f"{_LABELLED}, true AS best FROM l WHERE split = 'test'"
 ORACLES["random_search"] = """

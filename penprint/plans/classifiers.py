@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from penprint.functions import fixed
+from penprint.operators.boosting import SoftmaxBoosting
 from penprint.operators.extractor import LearnedSize, NgramRange, TextStatsExtractor
 from penprint.operators.neighbours import knn_predict
 from penprint.operators.recipes import TextTransformer
@@ -62,6 +63,7 @@ MODEL_SPACES = {
 BOOST_RANGES = {
     "iterations": (100, 500, "int"),
     "learning_rate": (0.01, 0.2, "log"),
+    "l2_leaf_reg": (1e-3, 10, "log"),
     "max_depth": (1, 10, "int"),
 }
 FOREST_RANGES = {
@@ -314,6 +316,15 @@ def boosted(source: str, params: dict | None = None, label: str = "label") -> Pi
     return Pipeline(stages=stages)
 
 
+def softmax_boosted(source: str, params: dict | None = None, label: str = "label", weight: str | None = None) -> SoftmaxBoosting:
+    """Multiclass boosting on a vector column with the names of ``BOOST_RANGES``."""
+    params = params or {}
+    return SoftmaxBoosting(
+        featuresCol=source, labelCol=label, weightCol=weight, iterations=params.get("iterations", 100),
+        learningRate=params.get("learning_rate", 0.1), maxDepth=params.get("max_depth", 6), l2=params.get("l2_leaf_reg", 3.0),
+    )
+
+
 def embedding_head(
     train: DataFrame, valid: DataFrame, classes: int, vec_col: str, label: str = "label",
     hidden: int = 512, rounds: int = 4, iterations: int = 25, seed: int = 42,

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from penprint.operators import boosting, catalogue, chunking, inference, lexicon, pos, scale, splits, terms, topics
+from penprint.operators import boosting, catalogue, chunking, head, inference, lexicon, pos, scale, splits, terms, topics
 from penprint.operators.extractor import stat_columns
 from penprint.operators.vectors import TruncatedSvd, count_stage, explained_curve, with_class_weights
-from penprint.plans import classifiers, search
+from penprint.plans import classifiers, guided, search
 from penprint.plans.classifiers import Inputs, fit_classifier
 from penprint.plans.jobs import train
 from penprint.session import run_folder
@@ -199,6 +200,43 @@ def embedding_head(spark, folder):
     return outcome(spark, folder, model.transform(table), table="embeddings", name="label", probabilities="probability")
 
 
+@query
+def relu_head_scores(spark, folder):
+    """The head with ReLU and a class-weighted loss; the layers of the epoch with the lowest validation loss are kept."""
+    vectors = read_table(spark, folder, "embeddings").select(
+        "vec_id", F.col("label").cast("double"), array_to_vector(F.col("embedding").cast("array<double>")).alias("vec")
+    )
+    table = splits.nested_holdout(vectors, "label", "vec_id").withColumn("held", F.col("split") == "valid")
+    table = scale.settled(table)
+    stage = head.ReluHead(featuresCol="vec", hidden=128, epochs=6, batches=2, rate=0.01, validCol="held")
+    model = stage.fit(table.where("split <> 'test'"))
+    rows = outcome(spark, folder, model.transform(table), table="embeddings", name="label", probabilities="probability")
+    lowest = min(v for _, v in model.losses)
+    state, _, _ = stage._state(table.where("split <> 'test'"))
+    best = abs(head.mean_loss(state.where("valid"), model.layers) - lowest) < 1e-9
+    return rows.withColumn("best", F.lit(best and model.losses[-1][0] < model.losses[0][0]))
+
+
+@query
+def guided_trials(spark, folder):
+    """Twelve guided trials of the smoothing of a naive Bayes model on three folds, some ended early."""
+    table = _mark_features(spark, folder).withColumn("vec", array_to_vector("x"))
+    folds = splits.stratified_folds(table, "lang", "doc_id", 3)
+    table = scale.settled(table.join(folds.select("doc_id", "fold"), "doc_id"))
+    space = {"alpha": (1e-3, 1e3, "log"), "model_type": ["multinomial", "complement"]}
+
+    def make(params: dict, n_rows: int) -> tuple[list, list]:
+        return [], [NaiveBayes(modelType=params["model_type"], smoothing=params["alpha"], featuresCol="vec", labelCol="label")]
+
+    trials = guided.tune_guided(make, space, table, 3, 12)
+    rows = guided.trials_table(trials, spark)
+    whole = [t.score for t in trials if not t.ended]
+    ordered = whole == sorted(whole, reverse=True) and [t.ended for t in trials] == sorted(t.ended for t in trials)
+    alpha = F.col("params")["alpha"].cast("double")
+    bounded = F.col("score").between(0, 1) & alpha.between(1e-3, 1e3) & (F.col("ended") == (F.col("n_folds") < 3))
+    return rows.select("trial", F.size("params").alias("n_params"), bounded.alias("bounded"), F.lit(ordered).alias("ordered"))
+
+
 @query
 def random_search(spark, folder):
     """Ten draws on five folds; the SQL names the first three draws, the bounds hold for all ten."""
@@ -216,6 +254,21 @@ def random_search(spark, folder):
     return rows.where("draw < 3").select("draw", bounded.alias("bounded"), F.lit(best).alias("best_first"), F.lit(leaks).cast("bigint").alias("n_leaks"), F.lit(folds.count()).cast("bigint").alias("n_rows"))
 
 
+@query
+def random_search_draws(spark, folder):
+    """Ten draws on five grouped folds over the whole space, nothing held: every draw with its bounds, in order of score."""
+    table, inputs = prepared(spark, folder)
+    grouped = table.withColumn("book", F.floor(F.col("doc_id") / 3))
+    folds = splits.stratified_group_folds(grouped, "label", "book", 5)
+    folds = scale.settled(grouped.join(folds.select("book", "fold"), "book"))
+    found = search.random_search("BoW stats poly LR", folds, inputs)
+    means = [r["f1_weighted_mean"] for r in found]
+    ordered = means == sorted(means, reverse=True)
+    rows = search.results_table(found, spark)
+    scores = F.array(*[F.col(f"{m}_{s}") for m in search.METRICS for s in ("mean", "std")])
+    return rows.select("draw", F.size("params").alias("n_params"), F.forall(scores, lambda x: (x >= 0) & (x <= 1)).alias("bounded"), F.lit(ordered).alias("ordered"))
+
+
 @query
 def training_run(spark, folder):
     table, inputs = prepared(spark, folder)

@@ -687,12 +687,15 @@ ORACLES["training_run"] = f"{_LABELLED}, true AS best FROM l WHERE split = 'test
 ORACLES["random_search"] = """
 SELECT unnest(range(3))::INTEGER AS draw, true AS bounded, true AS best_first, 0::BIGINT AS n_leaks,
        (SELECT count(*) FROM documents) AS n_rows"""
+ORACLES["random_search_draws"] = "SELECT unnest(range(10))::INTEGER AS draw, 10::INTEGER AS n_params, true AS bounded, true AS ordered"
 ORACLES["embedding_head"] = f"""
 WITH h AS (
   SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR) || ':42')) AS r,
          ceil(count(*) OVER (PARTITION BY label) * 0.2::DOUBLE) AS held FROM embeddings)
 SELECT vec_id, CASE WHEN r <= ceil(held * 0.2::DOUBLE) THEN 'test' WHEN r <= held THEN 'valid' ELSE 'train' END AS split,
        label, true AS known, true AS bounded, true AS learned FROM h"""
+ORACLES["relu_head_scores"] = ORACLES["embedding_head"].replace("true AS learned FROM h", "true AS learned, true AS best FROM h")
+ORACLES["guided_trials"] = "SELECT unnest(range(12))::INTEGER AS trial, 2::INTEGER AS n_params, true AS bounded, true AS ordered"
 ORACLES["lda_topics"] = """
 SELECT doc_id, CAST(k AS INTEGER) AS k, true AS bounded FROM documents, (SELECT unnest([10, 15, 20, 25, 30]) AS k)"""
 ORACLES["svd_coords"] = f"""

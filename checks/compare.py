@@ -13,6 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import checks.language  # noqa: E402, F401
 import checks.model_queries  # noqa: E402, F401
+import checks.more_queries  # noqa: E402, F401
 from checks.oracles import ORACLES  # noqa: E402
 from checks.workload import QUERIES  # noqa: E402
 

@@ -9,7 +9,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from penprint.operators import boosting, catalogue, chunking, head, inference, lexicon, pos, scale, splits, terms, topics
+from penprint.operators import boosting, catalogue, chunking, head, inference, lexicon, pos, pruning, scale, splits, terms, topics
 from penprint.operators.extractor import stat_columns
 from penprint.operators.vectors import TruncatedSvd, count_stage, explained_curve, with_class_weights
 from penprint.plans import classifiers, guided, search
@@ -200,6 +200,23 @@ def embedding_head(spark, folder):
     return outcome(spark, folder, model.transform(table), table="embeddings", name="label", probabilities="probability")
 
 
+@query
+def pruned_forest_scores(spark, folder):
+    """A forest pruned by cost complexity: no tree grows, the leaves are those its pruning path names for the alpha."""
+    table = _mark_features(spark, folder).withColumn("vec", array_to_vector("x"))
+    table = scale.settled(splits.stratified_holdout(table, "lang", "doc_id"))
+    part = table.where("split = 'train'")
+    common = {"featuresCol": "vec", "labelCol": "label"}
+    params = {"n_estimators": 20, "max_depth": 12, "criterion": "entropy"}
+    whole = classifiers.forest(params, **common).fit(part)
+    small = classifiers.forest({**params, "ccp_alpha": 0.01}, **common).fit(part)
+    path = pruning.pruning_path(whole).where("alpha <= 0.01").groupBy("tree").agg(F.min("leaves").alias("leaves"))
+    named = {r["tree"]: r["leaves"] for r in path.collect()}
+    kept = [(t.numNodes + 1) // 2 for t in small.trees]
+    fewer = kept == [named[k] for k in range(20)] and sum(kept) < sum((t.numNodes + 1) // 2 for t in whole.trees)
+    return outcome(spark, folder, small.transform(table), probabilities="probability").withColumn("fewer", F.lit(fewer))
+
+
 @query
 def relu_head_scores(spark, folder):
     """The head with ReLU and a class-weighted loss; the layers of the epoch with the lowest validation loss are kept."""

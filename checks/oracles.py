@@ -682,6 +682,7 @@ g AS (
 SELECT feature, border, round(gain, 6) AS gain FROM g
 QUALIFY row_number() OVER (PARTITION BY feature ORDER BY round(gain, 9) DESC, border) = 1"""
 ORACLES["softmax_boost_scores"] = f"{_LABELLED}, true AS falling, true AS held_out_better FROM l"
+ORACLES["pruned_forest_scores"] = f"{_LABELLED}, true AS fewer FROM l"
 ORACLES["soft_vote"] = f"{_LABELLED} FROM l"
 ORACLES["training_run"] = f"{_LABELLED}, true AS best FROM l WHERE split = 'test'"
 ORACLES["random_search"] = """

@@ -27,6 +27,7 @@ from penprint.functions import fixed
 from penprint.operators.boosting import SoftmaxBoosting
 from penprint.operators.extractor import LearnedSize, NgramRange, TextStatsExtractor
 from penprint.operators.neighbours import knn_predict
+from penprint.operators.pruning import PrunedForest
 from penprint.operators.recipes import TextTransformer
 from penprint.operators.scale import settled
 from penprint.operators.vectors import (
@@ -71,6 +72,7 @@ FOREST_RANGES = {
     "max_depth": (1, 500, "int"),
     "min_samples_split": (2, 200, "logint"),
     "criterion": ["gini", "entropy", "log_loss"],
+    "ccp_alpha": (0.0, 0.1, "even"),
 }
 
 REDUCED = {"KNN", "RF"}
@@ -226,7 +228,9 @@ def forest(params: dict, **common) -> RandomForestClassifier:
     if depth > MAX_TREE_DEPTH:
         warnings.warn(f"trees stop at depth {MAX_TREE_DEPTH}, {depth} was asked for", stacklevel=2)
     criterion = params.get("criterion", "gini")
-    return RandomForestClassifier(
+    pruning = {"ccp_alpha": params["ccp_alpha"]} if params.get("ccp_alpha") else {}
+    return (PrunedForest if pruning else RandomForestClassifier)(
+        **pruning,
         numTrees=params.get("n_estimators", 100),
         maxDepth=min(depth, MAX_TREE_DEPTH),
         minInstancesPerNode=max(params.get("min_samples_leaf", 1), params.get("min_samples_split", 2) // 2),

@@ -9,7 +9,7 @@ from checks.oracles import ORACLES
 #: Fits of whole models, about half a minute each; ``python -m checks.compare`` runs them, tests/test_models.py their parts.
 FITS = {
     "svm_scores", "svm_rbf_scores", "knn_scores", "rf_scores", "gbt_scores", "soft_vote", "random_search", "lda_topics",
-    "pca_variance", "training_run", "softmax_boost_scores", "random_search_draws", "relu_head_scores", "guided_trials",
+    "pca_variance", "training_run", "softmax_boost_scores", "random_search_draws", "relu_head_scores", "guided_trials", "pruned_forest_scores",
 }
 
 

@@ -79,14 +79,17 @@ def resolved(records: DataFrame, permitted: Sequence[str] = PERMITTED, tracking:
     full = F.coalesce((F.col("kind") == "response") & (F.col("status") == 200) & F.col("body").isNotNull(), F.lit(False))
     keys = rows.where("url_key is not null and ts is not null").select("url_key", "ts", full.alias("full"), "record_id", "kind").distinct()
     # a response is not earlier than a revisit of the same time: the revisit comes first
-    found = latest_before(keys, "url_key", ["ts", "full", "record_id"], "full", "record_id")
-    found = found.where("kind = 'revisit'").select("record_id", "url_key", "ts", "source_id")
-    responses = rows.where(full).select(
-        F.col("record_id").alias("source_id"),
+    found = latest_before(keys.withColumn("place", F.struct("ts", "record_id")), "url_key", ["ts", "full", "record_id"], "full", "place")
+    found = found.where("kind = 'revisit'").select("record_id", "url_key", "ts", F.col("source_id.ts").alias("_ts"), F.col("source_id.record_id").alias("source_id"))
+    # ids alone may repeat: a source is named by address, time and id
+    one = Window.partitionBy("url_key", "_ts", "source_id").orderBy(F.desc("_hash"), F.desc("_other"))
+    stored = rows.where(full).select(
+        "url_key", F.col("ts").alias("_ts"), F.col("record_id").alias("source_id"), F.xxhash64("body").alias("_hash"), F.xxhash64("etag", "last_modified", "digest").alias("_other"),
         F.struct("url_key", "status", "etag", "last_modified", "digest", "headers", "body").alias("_source"),
-    )
+    )
+    responses = stored.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n", "_hash", "_other")
     revisits = rows.where("kind = 'revisit'").join(found, ["record_id", "url_key", "ts"], "left")
-    joined = revisits.join(responses, "source_id", "left")
+    joined = revisits.join(responses, ["url_key", "_ts", "source_id"], "left").drop("_ts")
 
     def equal(name: str, rest: Column) -> Column:
         one, other = F.col(name), F.col(f"_source.{name}")

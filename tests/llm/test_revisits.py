@@ -84,6 +84,26 @@ def test_clashing_header_names_and_repeated_rows(spark):
     assert [(r["body"], r["headers"]) for r in out] == [("b", {"date": "2", "x": "stored"})] * 2
 
 
+def test_repeated_ids_neither_double_nor_mix_revisits(spark):
+    def row(i, url, ts, kind, etag, body):
+        return (i, url, ts, kind, 200 if kind == "response" else 304, etag, None, None, None, body, "s")
+
+    rows = [
+        row(1, "http://a/", 1, "response", "e", "at a"), row(1, "http://a/", 1, "response", "e", "at a"), row(2, "http://a/", 2, "revisit", "e", None),
+        row(1, "http://b/", 1, "response", "f", "at b"), row(3, "http://b/", 5, "revisit", "f", None), row(1, "http://a/", 7, "response", "g", "later"),
+        row(4, "http://a/", 9, "revisit", "g", None), row(5, "http://a/", 4, "revisit", "g", None), row(6, "http://c/", 1, "response", "h", "x"),
+        row(6, "http://c/", 1, "response", "h", "y"), row(7, "http://c/", 2, "revisit", "h", None), row(7, "http://c/", 2, "revisit", "h", None),
+    ]
+    out = revisits.resolved(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert len(out) == len(rows)
+    got = sorted((r["record_id"], r["outcome"], r["source_id"], r["body"]) for r in out if r["kind"] == "revisit" and r["record_id"] < 7 and r["body"])
+    assert got == [(2, "resolved", 1, "at a"), (3, "resolved", 1, "at b"), (4, "resolved", 1, "later")]
+    assert [r["outcome"] for r in out if r["record_id"] == 5] == ["mismatch"]
+    both = [r["body"] for r in out if r["record_id"] == 7]
+    again = {r["body"] for r in revisits.resolved(spark.createDataFrame(rows[::-1], SCHEMA)).where("record_id = 7").collect()}
+    assert len(both) == 2 and len({*both, *again}) == 1
+
+
 def test_query_equals_its_sql(spark, small):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{small}/pages.parquet'")

@@ -12,7 +12,7 @@ from checks.model_queries import _mark_features
 from checks.oracles import ORACLES, SENTENCES, USERS, PROBS, REPORT, q, strip, tokens_of
 from checks.workload import LETTERS, _events, docs, probabilities, query, r6
 from penprint.functions import fixed, text as T
-from penprint.operators import catalogue, evaluate, inference, lexicon, pos, profiles, scale, splits, stats, terms, usage
+from penprint.operators import evaluate, grouped, inference, lexicon, pos, profiles, scale, splits, stats, terms, usage
 from penprint.session import run_folder
 from penprint.sources import books
 from penprint.sources.tables import read_table
@@ -126,6 +126,21 @@ def sampled_rows(spark, folder):
     return splits.sample_n(docs(spark, folder), "doc_id", 100).select("doc_id", "lang")
 
 
+@query
+def spread_folds(spark, folder):
+    """Grouped folds by least spread: the class shares of the folds are about as alike as by dealing in turn, or more."""
+    table = docs(spark, folder).select("lang", F.floor(F.col("doc_id") / 3).cast("bigint").alias("book"))
+
+    def gap(folds: DataFrame) -> float:
+        cells = table.join(folds.select("book", "fold"), "book").groupBy("lang").pivot("fold", list(range(5))).count().na.fill(0)
+        shares = [F.col(str(i)) / sum(F.col(str(j)) for j in range(5)) for i in range(5)]
+        return cells.agg(F.avg(F.aggregate(F.array(*shares), F.lit(0.0), lambda a, x: a + (x - 0.2) * (x - 0.2)))).first()[0]
+
+    folds = scale.settled(grouped.spread_group_folds(table, "lang", "book"))
+    alike = gap(folds) <= gap(splits.stratified_group_folds(table, "lang", "book")) + 1e-3
+    return folds.select("book", "n", F.col("fold").between(0, 4).alias("known"), F.lit(bool(alike)).alias("alike"))
+
+
 @query
 def first_user(spark, folder):
     states = usage.user_states(_events(spark, folder))
@@ -216,6 +231,7 @@ ORACLES["listed_rows"] = "SELECT doc_id, source FROM documents WHERE doc_id IN (
 ORACLES["sampled_rows"] = "SELECT doc_id, lang FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR) || ':42') LIMIT 100"
 ORACLES["first_user"] = f"""
 WITH {USERS} SELECT user_id AS id, requests, rating FROM requests JOIN ratings USING (user_id) WHERE user_id = (SELECT min(user_id) FROM signups)"""
+ORACLES["spread_folds"] = "SELECT doc_id // 3 AS book, count(*)::BIGINT AS n, true AS known, true AS alike FROM documents GROUP BY 1"
 ORACLES["run_records"] = f"""
 WITH {REPORT}, f AS (SELECT round(sum(hits)::DOUBLE / sum(support), 6) AS f1_micro, round(avg(f1), 6) AS f1_macro FROM report)
 SELECT 'model ' || n AS model, '5' AS k, '0.5' AS c, f1_micro, f1_macro FROM f, (SELECT unnest([1, 2]) AS n)"""

@@ -119,7 +119,7 @@ def tagged_sentences(df: DataFrame) -> DataFrame:
         return F.element_at(F.array(*[F.lit(t) for t in fixed.RATIO_TAGS]), (code + odd) % 8 + 1)
 
     tags = F.transform(F.filter(before, lambda x: x["w"].isNotNull()), tag)
-    return scale.settled(sents.select("doc_id", "pos", "forms", tags.alias("tags")))
+    return scale.stored(sents.select("doc_id", "pos", "forms", tags.alias("tags")), "tagged")
 
 
 @query
@@ -192,15 +192,16 @@ SELECT doc_id, {POS_STATS} FROM tag_counts"""
 
 @query
 def abbreviation_scores(spark: SparkSession, folder: str) -> DataFrame:
-    scores = borders.type_scores(borders.tokens_of(docs(spark, folder)))
+    scores = borders.type_scores(borders.counts_of(borders.tokens_of(docs(spark, folder))))
     return scores.select("type", "with_dot", "without", (F.round("score", 5) + 0.0).alias("score"))
 
 
 @query
 def border_pairs(spark: SparkSession, folder: str) -> DataFrame:
     tokens = borders.tokens_of(docs(spark, folder))
-    short = scale.settled(borders.type_scores(tokens).where(F.col("score") >= borders.ABBREVIATION))
-    pairs, starters = borders.pair_scores(tokens, short)
+    counts = borders.counts_of(tokens)
+    short = scale.settled(borders.type_scores(counts).where(F.col("score") >= borders.ABBREVIATION))
+    pairs, starters = borders.pair_scores(tokens, counts, short)
     pairs = pairs.select("type", "next", "n", F.round("score", 5).alias("score"), "more")
     return pairs.unionByName(starters.select(F.lit("").alias("type"), "next", "n", F.round("score", 5).alias("score"), "more"))
 
@@ -212,7 +213,7 @@ def trained_sentences(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _core(sql: str) -> str:
-    openers, closers = (q(x) for x in (borders._OPENERS, borders._CLOSERS))
+    openers, closers = q(r"""^[("«„“'\[]+"""), q(r"""["»”“')\],;:]+$""")
     return f"regexp_replace(regexp_replace({sql}, {openers}, ''), {closers}, '')"
 
 

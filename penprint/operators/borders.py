@@ -13,14 +13,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from penprint.functions import text as T
-from penprint.operators.scale import balanced, lookup_join, settled
+from penprint.operators.scale import balanced, lookup_join, stored
 
 ABBREVIATION = 0.3
 COLLOCATION = 7.88
 STARTER = 30.0
 NUMBER = "##"
-_OPENERS = r"""^[("«„“'\[]+"""
-_CLOSERS = r"""["»”“')\],;:]+$"""
+OPENERS = "(\"«„“'["
+CLOSERS = "\"»”“')],;:"
 _QUOTES = r"""["»”“')\]]{0,3}"""
 
 
@@ -37,31 +37,45 @@ class BorderModel:
 
 def core(token: Column) -> Column:
     """A token without brackets, quotes and commas around it."""
-    return F.regexp_replace(F.regexp_replace(token, _OPENERS, ""), _CLOSERS, "")
+    return F.rtrim(F.ltrim(token, F.lit(OPENERS)), F.lit(CLOSERS))
 
 
 def type_of(bare: Column) -> Column:
     """The lower-case type of a bare token without its last full stop; numbers are one type."""
-    number = bare.rlike(r"^[+-]?\p{Nd}[\p{Nd}.,]*$")
-    return F.when(number, F.lit(NUMBER)).otherwise(F.lower(F.regexp_replace(bare, r"\.$", "")))
+    letters = (bare >= ":") & (bare < "\x80")  # begins with a letter or mark of ASCII, so it is no number
+    number = ~letters & bare.rlike(r"^[+-]?\p{Nd}[\p{Nd}.,]*$")
+    short = F.when(bare.endswith("."), F.substring(bare, F.lit(1), F.length(bare) - 1)).otherwise(bare)
+    return F.when(number, F.lit(NUMBER)).otherwise(F.lower(short))
 
 
 def tokens_of(df: DataFrame, text: str = "text") -> DataFrame:
-    """Neighbouring tokens of all texts: type, dot, mark, initial, next, next_upper, next_lower; the last one has no next.
+    """Neighbouring tokens of all texts: type, dot, mark, next, next_upper, next_lower; the last one has no next.
 
     ``dot`` is a full stop at the end, ``mark`` another sentence end. Only neighbours are looked at, so nothing of a text
     is gathered again.
     """
     words = F.filter(F.split(F.trim(T.repair_spacing(text)), " "), lambda w: w != "")
-    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    pairs = F.arrays_zip(words.alias("a"), F.slice(words, 2, F.greatest(F.size(words), F.lit(1))).alias("b"))
     rows = balanced(df.select(text)).select(F.explode(pairs).alias("p")).select(core(F.col("p.a")).alias("a"), core(F.col("p.b")).alias("b"))
     first = F.substring("b", 1, 1)
     return rows.select(
-        type_of(F.col("a")).alias("type"), F.col("a").endswith(".").alias("dot"), F.col("a").rlike("[!?…]$").alias("mark"),
+        type_of(F.col("a")).alias("type"), F.col("a").endswith(".").alias("dot"), F.right("a", F.lit(1)).isin("!", "?", "…").alias("mark"),
         type_of(F.col("b")).alias("next"), (first != F.lower(first)).alias("next_upper"), (first != F.upper(first)).alias("next_lower"),
     )
 
 
+def counts_of(tokens: DataFrame) -> DataFrame:
+    """Counts of every type, of every next type, and of all tokens, from one pass: level, word, n, dots, marks, lower,
+    upper_inside. ``lower`` and ``upper_inside`` say how a next type was ever written, the latter away from sentence ends.
+    """
+    inside = ~F.col("dot") & ~F.col("mark") & F.col("next_upper")
+    sums = [F.count("*").alias("n"), F.count_if("dot").alias("dots"), F.count_if("mark").alias("marks"), F.max("next_lower").alias("lower"), F.max(inside).alias("upper_inside")]
+    sets = tokens.groupingSets([[F.col("type")], [F.col("next")], []], "type", "next").agg(F.grouping_id().alias("_g"), *sums)
+    level = F.when(F.col("_g") == 1, "type").when(F.col("_g") == 2, "next").otherwise("all")
+    rows = sets.select(level.alias("level"), F.coalesce("type", "next").alias("word"), "n", "dots", "marks", "lower", "upper_inside")
+    return stored(rows.where("level = 'all' OR word IS NOT NULL"), "counts")
+
+
 def abbreviation_score(with_dot: Column, without: Column, kind: Column, dots: Column, tokens: Column) -> Column:
     """How much a type behaves like an abbreviation.
 
@@ -86,36 +100,35 @@ def likelihood_ratio(a: Column, b: Column, both: Column, n: Column) -> Column:
     return -2 * (part(both, a, p) + part(b - both, n - a, p) - part(both, a, p1) - part(b - both, n - a, p2))
 
 
-def type_scores(tokens: DataFrame) -> DataFrame:
+def type_scores(counts: DataFrame) -> DataFrame:
     """Abbreviation scores of all types with letters and without digits: type, with_dot, without, score."""
-    counts = tokens.groupBy("type").agg(F.count_if("dot").alias("with_dot"), F.count_if(~F.col("dot")).alias("without"))
-    totals = counts.agg(F.sum("with_dot").alias("dots"), F.sum(F.col("with_dot") + F.col("without")).alias("tokens"))
-    fitting = counts.where((F.col("with_dot") > 0) & F.col("type").rlike(r"\p{L}") & ~F.col("type").rlike(r"\p{Nd}"))
-    scored = fitting.join(F.broadcast(totals), F.lit(True))
-    score = abbreviation_score(F.col("with_dot"), F.col("without"), F.col("type"), F.col("dots"), F.col("tokens"))
-    return scored.select("type", "with_dot", "without", score.alias("score"))
+    all_ = counts.where("level = 'all'").select(F.col("dots").alias("_dots"), F.col("n").alias("_tokens"))
+    types = counts.where("level = 'type'").select(F.col("word").alias("type"), F.col("dots").alias("with_dot"), (F.col("n") - F.col("dots")).alias("without"))
+    fitting = types.where((F.col("with_dot") > 0) & F.col("type").rlike(r"\p{L}") & ~F.col("type").rlike(r"\p{Nd}"))
+    score = abbreviation_score(F.col("with_dot"), F.col("without"), F.col("type"), F.col("_dots"), F.col("_tokens"))
+    return fitting.join(F.broadcast(all_), F.lit(True)).select("type", "with_dot", "without", score.alias("score"))
 
 
-def pair_scores(tokens: DataFrame, abbreviations: DataFrame) -> tuple[DataFrame, DataFrame]:
+def pair_scores(tokens: DataFrame, counts: DataFrame, abbreviations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Scores of pairs across a full stop after an abbreviation, number or initial, and of words after sure ends.
 
-    Returns (type, next, n_type, n_next, n, score) and (next, n_next, n, score). The pairs of one type are counted before
-    they are shuffled.
+    Returns (type, next, n_type, n_next, n, score, more) and (next, n_next, n, score, more); ``more`` says that the two
+    meet more often than by chance. Only pairs across a full stop after a short type are counted; what follows sure ends
+    is the rest of what follows any full stop or mark.
     """
-    marked = with_abbreviations(tokens, abbreviations)
-    pairs = settled(marked.groupBy("type", "next", "dot", "mark", "short").agg(F.count("*").alias("n")))
-    total = pairs.agg(F.sum("n").alias("total"))
-    by_type = settled(pairs.groupBy("type").agg(F.sum("n").alias("n_type")))
-    by_next = settled(pairs.where("next IS NOT NULL").groupBy("next").agg(F.sum("n").alias("n_next")))
-    across = pairs.where(F.col("dot") & F.col("short") & F.col("next").rlike(r"\p{L}")).groupBy("type", "next").agg(F.sum("n").alias("n"))
-    across = lookup_join(lookup_join(across, by_type, ["type"], salt_on=["next"]), by_next, ["next"], salt_on=["type"])
-    across = across.join(F.broadcast(total), F.lit(True))
+    short = with_abbreviations(tokens.where("dot"), abbreviations).where("short")
+    across = stored(short.groupBy("type", "next").agg(F.count("*").alias("n")).where("next IS NOT NULL"), "across")
+    total = counts.where("level = 'all'").select(F.col("n").alias("total"))
+    by_type = counts.where("level = 'type' AND dots > 0").select(F.col("word").alias("type"), F.col("n").alias("n_type"))
+    after = counts.where("level = 'next'").select(F.col("word").alias("next"), F.col("n").alias("n_next"), (F.col("dots") + F.col("marks")).alias("_ends"))
+    after = after.where("_ends > 0").join(across.groupBy("next").agg(F.sum("n").alias("_unsure")), "next", "left").na.fill(0, ["_unsure"])
+    after = stored(after.select("next", "n_next", (F.col("_ends") - F.col("_unsure")).alias("n")), "after")
+    pairs = lookup_join(across.where(F.col("next").rlike(r"\p{L}")), by_type, ["type"], salt_on=["next"])
+    pairs = lookup_join(pairs, after.select("next", "n_next"), ["next"], salt_on=["type"]).join(F.broadcast(total), F.lit(True))
     first = F.col("n_type"), F.col("n_next"), F.col("n"), F.col("total")
-    collocations = across.withColumn("score", likelihood_ratio(*first)).withColumn("more", F.col("n") * F.col("total") > F.col("n_type") * F.col("n_next"))
-    sure = F.col("mark") | (F.col("dot") & ~F.col("short"))
-    ends = pairs.where(sure & F.col("next").isNotNull())
-    starts = ends.where(F.col("next").rlike(r"^\p{L}+$")).groupBy("next").agg(F.sum("n").alias("n"))
-    starts = lookup_join(starts, by_next, ["next"]).join(F.broadcast(total), F.lit(True)).join(F.broadcast(ends.agg(F.sum("n").alias("n_ends"))), F.lit(True))
+    collocations = pairs.withColumn("score", likelihood_ratio(*first)).withColumn("more", F.col("n") * F.col("total") > F.col("n_type") * F.col("n_next"))
+    starts = after.where((F.col("n") > 0) & F.col("next").rlike(r"^\p{L}+$"))
+    starts = starts.join(F.broadcast(total), F.lit(True)).join(F.broadcast(after.agg(F.sum("n").alias("n_ends"))), F.lit(True))
     second = F.col("n_ends"), F.col("n_next"), F.col("n"), F.col("total")
     starters = starts.withColumn("score", likelihood_ratio(*second)).withColumn("more", F.col("n") * F.col("total") > F.col("n_ends") * F.col("n_next"))
     return (
@@ -133,17 +146,17 @@ def with_abbreviations(rows: DataFrame, abbreviations: DataFrame) -> DataFrame:
 
 
 def train(df: DataFrame, text: str = "text") -> BorderModel:
-    """Learn a model from a corpus: one pass for the types, one for the pairs."""
+    """Learn a model from a corpus: one pass for the types, one over the full stops for the pairs."""
     tokens = tokens_of(df, text)
-    abbreviations = settled(type_scores(tokens).where(F.col("score") >= ABBREVIATION).select("type", "score"))
-    collocations, starters = pair_scores(tokens, abbreviations)
-    inside = ~F.col("dot") & ~F.col("mark") & F.col("next_upper")
-    shapes = tokens.where(F.col("next").rlike(r"^\p{L}")).groupBy("next").agg(F.max("next_lower").alias("lower"), F.max(inside).alias("upper_inside"))
+    counts = counts_of(tokens)
+    abbreviations = stored(type_scores(counts).where(F.col("score") >= ABBREVIATION).select("type", "score"), "abbreviations")
+    collocations, starters = pair_scores(tokens, counts, abbreviations)
+    shapes = counts.where((F.col("level") == "next") & F.col("word").rlike(r"^\p{L}"))
     return BorderModel(
         abbreviations,
-        settled(collocations.where((F.col("score") >= COLLOCATION) & F.col("more")).select("type", "next", "score")),
-        settled(starters.where((F.col("score") >= STARTER) & F.col("more")).select("next", "score")),
-        settled(shapes),
+        stored(collocations.where((F.col("score") >= COLLOCATION) & F.col("more")).select("type", "next", "score"), "collocations"),
+        stored(starters.where((F.col("score") >= STARTER) & F.col("more")).select("next", "score"), "starters"),
+        shapes.select(F.col("word").alias("next"), "lower", "upper_inside"),
     )
 
 
@@ -169,22 +182,19 @@ def split_sentences(df: DataFrame, model: BorderModel, doc: str, text: str = "te
         doc, "_i", "_piece", F.col("_before").endswith(".").alias("dot"), type_of(F.col("_before")).alias("type"), type_of(F.col("_after")).alias("next"),
         (first != F.lower(first)).alias("upper"), (first != F.upper(first)).alias("small"),
     )
-    spread = [doc, "_i"]
-    rows = with_abbreviations(rows, model.abbreviations)
-    rows = lookup_join(rows, model.collocations.select("type", "next", F.lit(True).alias("_pair")), ["type", "next"], "left", salt_on=spread)
-    rows = lookup_join(rows, model.starters.select("next", F.lit(True).alias("_starter")), ["next"], "left", salt_on=spread)
-    rows = lookup_join(rows, model.shapes, ["next"], "left", salt_on=spread)
     no = F.lit(False)
+    # only the full stops of short types need a look at the other tables
+    short = with_abbreviations(rows.where("dot").select(doc, "_i", "type", "next", "upper", "small"), model.abbreviations)
+    paired = lookup_join(rows.where("dot").select(doc, "_i", "type", "next"), model.collocations.select("type", "next"), ["type", "next"], salt_on=[doc, "_i"])
+    unsure = lookup_join(short.where("short"), model.starters.select("next", F.lit(True).alias("_starter")), ["next"], "left", salt_on=[doc, "_i"])
+    unsure = unsure.join(model.shapes, "next", "left")
     begins = F.col("upper") & F.coalesce(F.col("lower"), no) & ~F.coalesce(F.col("upper_inside"), no)
     starter = F.coalesce(F.col("_starter"), no) & F.col("upper")
-    holds = (
-        F.when(F.col("type").isNull() | ~F.col("dot"), True)
-        .when(F.coalesce(F.col("_pair"), no), False)
-        .when(~F.col("short"), True)
-        .when(F.col("type") == NUMBER, ~F.col("small"))
-        .when(F.length("type") == 1, begins)
-        .otherwise(starter | begins)
-    )
+    holds = F.when(F.col("type") == NUMBER, ~F.col("small")).when(F.length("type") == 1, begins).otherwise(starter | begins)
+    refused = unsure.where(~F.coalesce(holds, no)).select(doc, "_i").unionByName(paired.select(doc, "_i"))
+    refused = refused.groupBy(doc).agg(F.collect_set("_i").alias("_no"))
+    rows = rows.select(doc, "_i", "_piece").join(refused, doc, "left")
+    holds = ~F.coalesce(F.array_contains("_no", F.col("_i")), no)
     number = F.sum(F.when(holds, 1).otherwise(0)).over(within)
     joined = rows.withColumn("_s", number).groupBy(doc, "_s").agg(F.array_sort(F.collect_list(F.struct("_i", "_piece"))).alias("_p"))
     return joined.select(doc, (F.col("_s") - 1).cast("int").alias("pos"), F.array_join("_p._piece", " ").alias("sentence"))

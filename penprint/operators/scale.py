@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
-from penprint.session import checkpoint_root
+from penprint.session import checkpoint_root, run_folder
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 256 << 20
@@ -49,6 +49,16 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a derived table once below the checkpoint folder as Parquet and read it from there.
+
+    Column by column it takes a fraction of the disk that ``settled`` does, but has no place for vectors' metadata.
+    """
+    path = run_folder(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """Count a table's rows and bytes, up to the limits, before it is broadcast."""
     limit = BROADCAST_ROWS if max_rows is None else max_rows

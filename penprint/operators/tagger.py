@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from penprint.operators.scale import lookup_join, settled
+from penprint.operators.scale import fits_broadcast, lookup_join, stored
 
 UNIT = 1_000_000
 NEVER = 1 << 40
@@ -46,7 +46,8 @@ def learn(sentences: DataFrame, forms: str = "forms", tags: str = "tags") -> Tag
     driver; more than ``MOST_TAGS`` tags are refused. Forms stay a table.
     """
     words = sentences.select(F.explode(F.arrays_zip(F.col(forms).alias("form"), F.col(tags).alias("tag"))).alias("w")).select("w.form", "w.tag")
-    counted = settled(words.where(F.col("tag").isNotNull() & F.col("form").isNotNull()).groupBy("form", "tag").agg(F.count("*").alias("n")))
+    seen = words.where(F.col("tag").isNotNull() & F.col("form").isNotNull())
+    counted = stored(seen.groupBy("form", "tag").agg(F.count("*").alias("n")), "forms")
     once = counted.groupBy("form").agg(F.sum("n").alias("n"), F.first("tag").alias("tag")).where("n = 1").groupBy("tag").agg(F.count("*").alias("once"))
     totals = counted.groupBy("tag").agg(F.sum("n").alias("total")).join(F.broadcast(once), "tag", "left").na.fill(0, ["once"])
     listed = totals.limit(MOST_TAGS + 1).collect()
@@ -66,7 +67,7 @@ def learn(sentences: DataFrame, forms: str = "forms", tags: str = "tags") -> Tag
     own = counted.join(F.broadcast(totals), "tag").select("form", "tag", cost(F.col("n"), F.col("total")).alias("c"))
     by_tag = F.map_from_entries(F.collect_list(F.struct("tag", "c")))
     costs = F.array(*[F.try_element_at("m", F.lit(t)) for t in names]) if names else F.array().cast("array<bigint>")
-    table = settled(own.groupBy("form").agg(by_tag.alias("m")).select("form", costs.alias("costs")))
+    table = stored(own.groupBy("form").agg(by_tag.alias("m")).select("form", costs.alias("costs")), "costs")
     size = {r["tag"]: (r["once"], r["total"]) for r in listed}
     unseen = [int(np.rint(-np.log((size[t][0] + 1) / (size[t][1] + n)) * UNIT)) for t in names]
     return TagModel(names, steps, table, unseen)
@@ -112,37 +113,64 @@ def best_paths(costs: np.ndarray, bounds: np.ndarray, steps: np.ndarray) -> np.n
 def tag_sentences(sentences: DataFrame, model: TagModel, doc: str, order: str = "pos", forms: str = "forms", out: str = "tags") -> DataFrame:
     """The best tags of the words of every sentence: doc, order, forms, ``out``.
 
-    Sentences are spread by document while compact; words are looked up and gathered again within that split. A null
-    form counts as one that was not seen; an empty sentence has no tags. ``doc`` and ``order`` together name a sentence.
+    ``doc`` and ``order`` together name a sentence. A null form counts as one that was not seen; an empty or null sentence
+    has no tags. The words of a sentence stay neighbours while they are looked up in a table that a count allows to
+    broadcast, so nothing is shuffled; with a larger table they are brought together and sorted again.
     """
     names, steps = model.tags, model.steps
     if not names:
         return sentences.select(doc, order, forms, F.array().cast("array<string>").alias(out))
-    rows = sentences.select(doc, order, forms).repartition(doc)
-    rows = rows.select(doc, order, F.posexplode_outer(forms).alias("_i", "form"))
-    joined = lookup_join(rows, model.forms, ["form"], "left", salt_on=[doc, order, "_i"])
-    word = F.when(F.col("_i").isNotNull(), F.struct("_i", "form", "costs"))
-    whole = joined.groupBy(doc, order).agg(F.array_sort(F.collect_list(word)).alias("_w"))
-    whole = whole.select(doc, order, F.col("_w.form").alias(forms), F.col("_w.costs").alias("_c"))
+    rows = sentences.select(doc, order, F.posexplode_outer(forms).alias("_i", "form"))
+    if fits_broadcast(model.forms):
+        joined = rows.join(F.broadcast(model.forms), "form", "left")
+    else:
+        joined = lookup_join(rows, model.forms, ["form"], "left", salt_on=[doc, order, "_i"])
+        joined = joined.repartition(doc, order).sortWithinPartitions(doc, order, "_i")
+    joined = joined.select(doc, order, "_i", "form", "costs")
     unseen = np.array(model.unseen, np.int64)
 
+    def tagged(words: pa.Table) -> pa.RecordBatch:
+        """Whole sentences in order."""
+        words = words.combine_chunks()
+        firsts = np.flatnonzero(_changes(words, doc) | _changes(words, order))
+        real = np.asarray(words.column("_i").is_valid())
+        known = words.filter(pa.array(real))
+        bounds = np.append(np.append(0, np.cumsum(real))[firsts], real.sum())
+        column = known.column("costs").combine_chunks()
+        seen = np.asarray(column.is_valid())
+        costs = np.empty((len(known), len(names)), np.int64)
+        costs[~seen] = unseen
+        if seen.any():
+            costs[seen] = np.asarray(column.drop_null().flatten().fill_null(NEVER)).reshape(-1, len(names))
+        tags = pa.array(names).take(pa.array(best_paths(costs, bounds, steps)))
+        ends, text = pa.array(bounds, pa.int32()), known.column("form").combine_chunks().cast(pa.string())
+        lists = [pa.ListArray.from_arrays(ends, text), pa.ListArray.from_arrays(ends, tags)]
+        heads = words.select([doc, order]).take(pa.array(firsts)).combine_chunks()
+        return pa.RecordBatch.from_arrays([heads.column(0).chunk(0), heads.column(1).chunk(0), *lists], [doc, order, forms, out])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
-            words = batch.column("_c")
-            bounds = np.asarray(words.offsets, np.int64)
-            rows = words.values.slice(bounds[0], bounds[-1] - bounds[0])
-            seen = np.asarray(rows.is_valid())
-            costs = np.empty((len(rows), len(names)), np.int64)
-            costs[~seen] = unseen
-            if seen.any():
-                costs[seen] = np.asarray(rows.drop_null().flatten().fill_null(NEVER)).reshape(-1, len(names))
-            found = best_paths(costs, bounds - bounds[0], steps)
-            tags = pa.array(names).take(pa.array(found))
-            lists = pa.ListArray.from_arrays(pa.array(bounds - bounds[0], pa.int32()), tags)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in (doc, order, forms)], lists], [doc, order, forms, out])
-
-    kinds = dict(whole.dtypes)
-    return whole.mapInArrow(run, f"`{doc}` {kinds[doc]}, `{order}` {kinds[order]}, `{forms}` array<string>, `{out}` array<string>")
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            last = int(np.flatnonzero(_changes(held, doc) | _changes(held, order))[-1])  # that sentence may go on
+            if last:
+                yield tagged(held.slice(0, last))
+                held = held.slice(last)
+        if held is not None:
+            yield tagged(held)
+
+    kinds = dict(joined.dtypes)
+    return joined.mapInArrow(run, f"`{doc}` {kinds[doc]}, `{order}` {kinds[order]}, `{forms}` array<string>, `{out}` array<string>")
+
+
+def _changes(table: pa.Table, column: str) -> np.ndarray:
+    """Whether a row's value differs from that of the row before; true for the first."""
+    codes = table.column(column).combine_chunks().dictionary_encode("encode").indices
+    codes = np.asarray(codes)
+    return np.append(True, codes[1:] != codes[:-1])
 
 
 def word_rows(tagged: DataFrame, doc: str, forms: str = "forms", tags: str = "tags") -> DataFrame:

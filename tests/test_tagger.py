@@ -99,3 +99,16 @@ def test_missing_tags_empty_tables_and_large_tag_sets(spark, taught):
 def test_rows_for_statistics(spark):
     tagged = spark.createDataFrame([(1, ["a", "b"], ["S", "V"]), (2, [], [])], "doc int, forms array<string>, tags array<string>")
     assert sorted(map(tuple, tagger.word_rows(tagged, "doc").collect()), key=str) == [(1, "a", "S"), (1, "b", "V"), (2, None, None)]
+
+
+def test_small_batches_and_large_tables_give_the_same(spark, taught, monkeypatch):
+    model = tagger.learn(taught[1])
+    key = lambda df: sorted(map(tuple, df.select("doc", "pos", "forms", "tags").collect()))
+    want = key(tagger.tag_sentences(taught[1].drop("tags"), model, "doc"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        assert key(tagger.tag_sentences(taught[1].drop("tags"), model, "doc")) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    monkeypatch.setattr(tagger, "fits_broadcast", lambda df: False)
+    assert key(tagger.tag_sentences(taught[1].drop("tags"), model, "doc")) == want

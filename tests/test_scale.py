@@ -75,3 +75,29 @@ def test_tokenisers_run_once(spark, small):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("regexp_extract_all") == 1
     assert text.count("Exchange") == 1
+
+
+def test_word_join_of_a_large_table(spark, monkeypatch):
+    """Frequent words are looked up in place, rare ones by a join; nulls, unknown and repeated words keep their rows."""
+    monkeypatch.setattr(scale, "BROADCAST_ROWS", 5)
+    monkeypatch.setattr(scale, "FREQUENT_ROWS", 3)
+    words = ["a"] * 40 + ["b"] * 20 + ["gone"] * 30 + [f"w{i}" for i in range(20)] + [None, "lost"]
+    big = spark.createDataFrame([(i % 7, w) for i, w in enumerate(words)], "doc int, form string").repartition("doc")
+    table = spark.createDataFrame([(w, w.upper()) for w in sorted({w for w in words if w} - {"gone", "lost"})], "form string, up string")
+    assert {r["form"] for r in scale.frequent_keys(big, "form").collect()} == {"a", "b", "gone"}
+    joined = scale.word_join(big, table, "form", by=["doc"])
+    key = lambda r: (r["doc"], r["form"] or "", r["up"] or "")
+    assert sorted(joined.collect(), key=key) == sorted(big.join(table, "form", "left").collect(), key=key)
+    counts = {r["doc"]: r["count"] for r in joined.groupBy("doc").count().collect()}
+    assert counts == {r["doc"]: r["count"] for r in big.groupBy("doc").count().collect()}
+
+
+def test_lexicon_lookups_of_a_large_table_are_not_salted(spark, monkeypatch):
+    from penprint.operators.lexicon import with_lexicon
+
+    monkeypatch.setattr(scale, "BROADCAST_ROWS", 2)
+    rows = spark.createDataFrame([(1, w) for w in "x x x y z".split()], "doc int, token string")
+    lexicon = spark.createDataFrame([(w, w + w) for w in "xyzu"], "form string, lemma string")
+    out = with_lexicon(rows, lexicon, ["lemma"])
+    assert "_salt" not in out._jdf.queryExecution().toString()
+    assert sorted(r["lemma"] for r in out.collect()) == ["xx", "xx", "xx", "yy", "zz"]

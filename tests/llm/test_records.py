@@ -75,3 +75,16 @@ def test_query_covers_every_document(spark, small, whole):
         assert tuple(r)[1:] == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
     assert not texts
+
+
+def test_a_full_cache_keeps_the_pieces_met_first(whole, monkeypatch):
+    monkeypatch.setattr(records, "CACHE", 40)
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as source:
+        coder = records.Encoder(source.read())
+    coder.encode(["x " + " ".join(f"first{chr(97 + i)}" for i in range(10))])
+    texts = ["x " + " ".join(f"w{k}u{i}" for i in range(15)) for k in range(12)]
+    ids = coder.encode(texts[:1])
+    for text in texts[1:]:
+        ids += coder.encode([text])
+        assert len(coder.seen) <= 40
+    assert "firsta" in coder.seen and ids == coder.encode(texts)

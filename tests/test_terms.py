@@ -92,3 +92,14 @@ def test_dictionary_limits(spark):
     table = topics.lemma_counts(rows, "doc")
     assert [r["term"] for r in topics.build_dictionary(table, 10, 3, 0.5, 10).collect()] == ["half"]
     assert topics.build_dictionary(table, 10, 1, 1.0, 2).count() == 2
+
+
+def test_char_ngrams_of_repeated_documents_without_a_row_per_ngram_in_a_group(spark):
+    """Texts of one id count together, place by place; only whole texts are grouped."""
+    rows = [(1, "abab ab"), (1, "ab x abc"), (None, "bb"), (2, None), (2, " ")]
+    df = spark.createDataFrame(rows, "doc int, text string")
+    out = terms.char_ngrams(df, "doc", 2, "abc")
+    got = {(r["doc"], r["pos"], r["gram"]): r["n"] for r in out.collect()}
+    assert got == {(1, 0, "ab"): 3, (1, 0, "ba"): 1, (1, 1, "ab"): 1, (1, 2, "ab"): 1, (1, 2, "bc"): 1, (None, 0, "bb"): 1}
+    grouped = [line for line in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate" in line]
+    assert len(grouped) == 1 and "gram" not in grouped[0].split("]")[0]

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from penprint.operators.scale import fits_broadcast, lookup_join, stored
+from penprint.operators.scale import common_part, fits_broadcast, rare_rows, stored
 
 UNIT = 1_000_000
 NEVER = 1 << 40
@@ -115,7 +115,8 @@ def tag_sentences(sentences: DataFrame, model: TagModel, doc: str, order: str =
 
     ``doc`` and ``order`` together name a sentence. A null form counts as one that was not seen; an empty or null sentence
     has no tags. The words of a sentence stay neighbours while they are looked up in a table that a count allows to
-    broadcast, so nothing is shuffled; with a larger table they are brought together and sorted again.
+    broadcast, so nothing is shuffled. Of a larger table the frequent forms are broadcast; the costs of the other words
+    are looked up by a join of their own rows and come back to their sentence as one map.
     """
     names, steps = model.tags, model.steps
     if not names:
@@ -124,8 +125,15 @@ def tag_sentences(sentences: DataFrame, model: TagModel, doc: str, order: str =
     if fits_broadcast(model.forms):
         joined = rows.join(F.broadcast(model.forms), "form", "left")
     else:
-        joined = lookup_join(rows, model.forms, ["form"], "left", salt_on=[doc, order, "_i"])
-        joined = joined.repartition(doc, order).sortWithinPartitions(doc, order, "_i")
+        near = common_part(rows, model.forms, "form")
+        rare = rare_rows(rows, near, "form").join(model.forms.select("form", F.col("costs").alias("c")), "form")
+        found = rare.groupBy(F.col(doc).alias("_doc"), F.col(order).alias("_order")).agg(
+            F.map_from_entries(F.collect_set(F.struct("form", "c"))).alias("_rare")
+        )
+        own = sentences.join(found, F.col(doc).eqNullSafe(F.col("_doc")) & F.col(order).eqNullSafe(F.col("_order")), "left")
+        rows = own.select(doc, order, "_rare", F.posexplode_outer(forms).alias("_i", "form"))
+        joined = rows.join(F.broadcast(near), "form", "left")
+        joined = joined.withColumn("costs", F.coalesce("costs", F.try_element_at("_rare", F.col("form"))))
     joined = joined.select(doc, order, "_i", "form", "costs")
     unseen = np.array(model.unseen, np.int64)
 

@@ -5,8 +5,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from penprint.operators import tagger
+from penprint.operators import scale, tagger
 
 
 @pytest.fixture(scope="module")
@@ -112,3 +113,18 @@ def test_small_batches_and_large_tables_give_the_same(spark, taught, monkeypatch
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     monkeypatch.setattr(tagger, "fits_broadcast", lambda df: False)
     assert key(tagger.tag_sentences(taught[1].drop("tags"), model, "doc")) == want
+
+
+def test_large_table_of_forms_is_not_salted(spark, monkeypatch):
+    """Frequent forms are broadcast, costs of rare ones come back to their sentence; the tags are the same."""
+    rows = [(d, p, [f"w{(d * 7 + p * 3 + i) % 23}" for i in range(4)] + ["the", None]) for d in range(6) for p in range(3)] + [(9, 0, []), (None, 1, ["the", "w3"])]
+    truth = spark.createDataFrame(rows, "doc int, pos int, forms array<string>")
+    truth = truth.withColumn("tags", F.transform("forms", lambda w: F.when(w.isNotNull(), F.element_at(F.array(F.lit("A"), F.lit("B")), F.length(w) % 2 + 1))))
+    model = tagger.learn(truth)
+    plain = tagger.tag_sentences(truth, model, "doc", out="found").collect()
+    monkeypatch.setattr(scale, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(scale, "FREQUENT_ROWS", 2)
+    out = tagger.tag_sentences(truth, model, "doc", out="found")
+    assert "_salt" not in out._jdf.queryExecution().toString()
+    key = lambda r: (r["doc"] or -1, r["pos"])
+    assert sorted(out.collect(), key=key) == sorted(plain, key=key)

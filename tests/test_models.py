@@ -195,3 +195,17 @@ def test_model_queries_ask_for_whole_searches_and_vocabularies(spark, small, mon
     assert not {"vectorizer__max_features", "vectorizer__ngram_range", "model__max_iter"} & set(held)
     if name != "svm_rbf_scores":
         assert (given["n_iter"], given["k"]) == (10, 5)
+
+
+def test_scored_rows_are_kept_without_their_texts(spark, tmp_path, monkeypatch):
+    from checks import model_queries
+
+    rows = [(i, "a long text", "en" if i % 2 else "de", float(i % 2), "train", float(i % 2), [0.25, 0.75]) for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, label double, split string, prediction double, probability array<double>")
+    df.select("doc_id", "lang").write.parquet(str(tmp_path / "documents.parquet"))
+    kept = []
+    settled = model_queries.scale.settled
+    monkeypatch.setattr(model_queries.scale, "settled", lambda t: kept.append(t.columns) or settled(t))
+    out = model_queries.outcome(spark, str(tmp_path), df, probabilities="probability")
+    assert sorted(map(tuple, out.collect())) == [(i, "train", i % 2, True, True, True) for i in range(8)]
+    assert kept == [["doc_id", "split", "label", "prediction", "probability"]]

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -80,3 +82,23 @@ def test_neighbour_pipeline_with_string_ids_is_saved(spark, small, tmp_path):
     again = books.load_model(str(tmp_path / "knn"))
     first, second = ({r["doc_id"]: r["prediction"] for r in m.transform(rows).select("doc_id", "prediction").collect()} for m in (model, again))
     assert first == second and len(first) == 60 and None not in first.values()
+
+
+def test_random_features_of_wide_rows_hold_neither_the_rows_nor_the_directions_whole(spark):
+    rng = np.random.default_rng(3)
+    matrix = (rng.random((40, 20000)) < 0.01) * rng.normal(size=(40, 20000))
+    rows = [(i, Vectors.sparse(20000, [(int(j), float(r[j])) for j in np.flatnonzero(r)]) if i % 4 else Vectors.dense(r)) for i, r in enumerate(matrix)]
+    rows.append((40, Vectors.sparse(20000, [])))
+    stage = vectors.RandomFourier(inputCol="v", outputCol="f", features=16, gamma=0.01, seed=7)
+    got = {r["id"]: r["f"].toArray() for r in stage.transform(spark.createDataFrame(rows, ["id", "v"]).repartition(3)).collect()}
+    draws = np.random.default_rng(7)
+    weights, shift = draws.normal(0.0, np.sqrt(0.02), (20000, 16)), draws.uniform(0.0, 2.0 * np.pi, 16)
+    want = np.sqrt(2.0 / 16) * np.cos(np.vstack([matrix, np.zeros(20000)]) @ weights + shift)
+    assert np.allclose(np.array([got[i] for i in range(41)]), want)
+
+    wide = [(np.sort(rng.choice(300_000, 200, replace=False)), rng.random(200)) for _ in range(50)]
+    tracemalloc.start()
+    vectors.lifted_rows(wide, 300_000, 256, 0.01, 7)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20  # the directions alone have 614 MB

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import model_queries
 from penprint.functions import fixed
-from penprint.operators import vectors
+from penprint.operators import blocks, vectors
 from penprint.operators.vectors import TruncatedSvd, count_stage
 from penprint.plans import classifiers
 from penprint.sources import books
@@ -102,3 +102,41 @@ def test_random_features_of_wide_rows_hold_neither_the_rows_nor_the_directions_w
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 100 << 20  # the directions alone have 614 MB
+
+
+def test_directions_lie_in_several_files_and_are_not_collected(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "FILE", 8 * 14 * 500)  # ten files of 500 input columns
+    monkeypatch.setattr(blocks, "ENTRIES", 300)  # and several rounds of rows in a task
+    rng = np.random.default_rng(1)
+    matrix = (rng.random((60, 5000)) < 0.02) * rng.integers(1, 5, (60, 5000)) + np.outer(rng.random(60) < 0.5, rng.random(5000) < 0.1)
+    matrix[:, 1500:2100] = 0  # one file has no entries
+    df = spark.createDataFrame([(i, Vectors.sparse(5000, [(int(j), float(r[j])) for j in np.flatnonzero(r)])) for i, r in enumerate(matrix)], ["id", "v"]).repartition(3)
+    # single step against numpy
+    block = blocks.drawn(spark, 5000, 14, 3)
+    assert len(block.numbers) == 10
+    upper, _, _ = blocks.facts(spark, block)
+    block = blocks.orthonormal(block, upper)
+    start = block.whole()
+    assert np.allclose(start.T @ start, np.eye(14), atol=1e-12)
+    assert np.allclose(blocks.products(df, "v", block).whole(), matrix.T @ (matrix @ start))
+    mean = matrix.mean(axis=0)
+    centred = matrix - mean
+    less = 60 * (mean @ start)
+    assert np.allclose(blocks.products(df, "v", block, mean, less).whole(), centred.T @ (centred @ start))
+    # the fit, with the driver never holding a block
+    monkeypatch.setattr(blocks.Block, "whole", lambda self: pytest.fail("collected"))
+    model = TruncatedSvd(inputCol="v", outputCol="c", k=4, rounds=30).fit(df)
+    got = {r["id"]: r["c"] for r in model.transform(df).select("id", vector_to_array("c").alias("c")).collect()}
+    left, values, _ = np.linalg.svd(matrix, full_matrices=False)
+    assert np.allclose(model.values, values[:4], rtol=1e-4)
+    assert np.allclose(np.abs([got[i] for i in range(60)])[:, 0], np.abs(left[:, 0] * values[0]), rtol=1e-3, atol=1e-3)
+
+
+def test_more_components_than_the_rows_span(spark):
+    rows = [(i, Vectors.sparse(40, {0: 1.0 + i, 3: 2.0})) for i in range(5)] + [(5, Vectors.sparse(40, {}))]
+    model = TruncatedSvd(inputCol="v", outputCol="c", k=4).fit(spark.createDataFrame(rows, ["id", "v"]))
+    matrix = np.array([v.toArray() for _, v in rows])
+    assert model.vectors.shape == (40, 4) and np.allclose(model.values, np.linalg.svd(matrix, compute_uv=False)[:4], atol=1e-5)
+    zeros = spark.createDataFrame([(0, Vectors.sparse(40, {})), (1, Vectors.dense([0.0] * 40))], ["id", "v"])
+    model = TruncatedSvd(inputCol="v", outputCol="c", k=4).fit(zeros)
+    assert [r["c"].toArray().tolist() for r in model.transform(zeros).collect()] == [[0.0] * 4] * 2

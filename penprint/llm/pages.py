@@ -19,6 +19,7 @@ from penprint.llm.common import bounded, written
 from penprint.operators.scale import lookup_join
 
 RUN = 12  # words that a run repeated on different pages must have
+FEW = 5  # pages of different content that a run inside articles must stand on before it may be furniture
 SHARD = 256 << 10  # html bytes of a host that share one suffix array
 CONTENT, FURNITURE, OPEN = 0, 1, 2  # blocks of the article, of the page around it, and those that markup leaves open
 
@@ -157,13 +158,33 @@ def spread(begin: np.ndarray, n: int, length: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def remaining(texts: list[str], kinds: list[int], covered: list[np.ndarray]) -> list[str]:
-    """Content as it is, and of the open blocks the words outside repeated runs; a page that is all repeated stays."""
+def page_counts(rank: np.ndarray, page: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """On how many pages each run stands, counted over the places in ``among``."""
+    width = int(page.max()) + 1 if len(page) else 1
+    pairs = np.unique(rank[among].astype(np.int64) * width + page[among])
+    return np.bincount(pairs // width, minlength=len(rank) + 1)
+
+
+def inside(content: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Places of the runs whose words all lie in articles."""
+    sums = np.append(0, np.cumsum(content))
+    starts = np.flatnonzero(rank >= 0)
+    return starts[sums[starts + RUN] - sums[starts] == RUN] if len(starts) else starts
+
+
+def remaining(texts: list[str], kinds: list[int], covered: list[np.ndarray], wide: list[np.ndarray] | None = None) -> list[str]:
+    """The words outside of runs: of open blocks outside the ``covered`` ones, of content outside the ``wide`` ones.
+
+    Content stays as it is where the wide runs hold more than half of its words, and a page that is all repeated stays.
+    """
+    words_in = [0 if kind != CONTENT else len(mask) for kind, mask in zip(kinds, covered)]
+    gone = 0 if wide is None else sum(int(mask.sum()) for kind, mask in zip(kinds, wide) if kind == CONTENT)
+    if wide is None or 2 * gone > sum(words_in):
+        wide = [np.zeros(0, bool)] * len(texts)
     out = []
-    for text, kind, mask in zip(texts, kinds, covered):
-        if kind == CONTENT:
-            out.append(text)
-        elif kind == OPEN:
+    for text, kind, mask, every in zip(texts, kinds, covered, wide):
+        if kind != FURNITURE:
+            mask = every if kind == CONTENT else mask
             out.append(text if not mask.any() else " ".join(w for w, c in zip(text.split(" "), mask) if not c))
     out = [t for t in out if t]
     return out or [t for t, k in zip(texts, kinds) if k != FURNITURE]
@@ -212,12 +233,18 @@ def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def places_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All runs of every page with their places."""
+    """All runs of every page with their places, the page's stream, and whether they lie in the article."""
     for batch in batches:
-        for row, host, (grams, _) in zip(batch.column("_row").to_pylist(), batch.column("_host").to_pylist(), runs_of(batch.column("_texts").to_pylist())):
+        columns = (batch.column(c).to_pylist() for c in ("_row", "_host", "_texts", "_kinds"))
+        for row, host, texts, kinds in zip(*columns):
+            ((grams, stream),) = runs_of([texts])
             n = len(grams)
+            content = np.repeat(np.frombuffer(kinds, np.uint8) == CONTENT, np.array([len(t.split(" ")) for t in texts], np.int64))
+            own = np.zeros(n, bool)
+            own[inside(content, np.where(np.arange(len(content)) < n, 0, -1))] = True
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, row)), pa.array([host] * n, pa.string()), pa.array(np.arange(n, dtype=np.int32)), pa.array(grams)], ["_row", "_host", "at", "gram"]
+                [pa.array(np.full(n, row)), pa.array([host] * n, pa.string()), pa.array(np.arange(n, dtype=np.int32)), pa.array(grams), pa.array(np.full(n, stream)), pa.array(own)],
+                ["_row", "_host", "at", "gram", "stream", "own"],
             )
 
 
@@ -230,9 +257,11 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html", identity:
     """Rows of ``pages`` without the html, with text and n_chars (code points); other columns pass unchanged.
 
     The token streams of all pages of a host are concatenated and a suffix array finds the runs that stand on pages of
-    different content; open blocks keep what lies outside of them. A host with more html than ``shard`` has several
-    arrays; where such a host has open blocks, the runs of all its pages are then compared between the arrays, so that
-    the split changes nothing. Null html gives an empty text; null and malformed addresses share one host; pages with equal streams count
+    different content; open blocks keep what lies outside of them. Of the runs inside articles those go that stand in the
+    articles of more than half of the host's pages, ``FEW`` of different content at least, unless they are more than half
+    of the article's words: passages that some articles share are text. A host with more html than ``shard`` has several
+    arrays; where such a host has open blocks, or a run in more than half of the articles of one array, the runs of all its
+    pages are then compared between the arrays, so that the split changes nothing. Null html gives an empty text; null and malformed addresses share one host; pages with equal streams count
     as one page.
     """
     drop = [c for c in ("text", "n_chars") if c in pages.columns]
@@ -247,6 +276,7 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html", identity:
     fields = [f for f in pages.schema.fields if f.name in kept]
     schema = ST.StructType(list(fields)).add("text", ST.StringType()).add("_host", ST.StringType()).add("_shard", ST.IntegerType())
     schema = schema.add("_texts", ST.ArrayType(ST.StringType())).add("_kinds", ST.BinaryType()).add("_covered", ST.BinaryType())
+    schema = schema.add("_wide", ST.ArrayType(ST.LongType()))
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -263,11 +293,26 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html", identity:
             streams: dict = {}
             content = np.array([streams.setdefault((number[k], hashlib.md5(hashes[ends[k] : ends[k + 1]]).digest()), len(streams)) for k in range(len(texts))])
             salted = words.mix(hashes + number[page].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) if len(page) else hashes
-            covered, _ = repeated(salted, page, content[page] if len(page) else page)
+            covered, rank = repeated(salted, page, content[page] if len(page) else page)
+            article = np.repeat(np.array([kind == CONTENT for of_page in kinds for kind in of_page], bool), np.diff(bounds))
+            own = inside(article, rank)
+            often = own[2 * page_counts(rank, page, own)[rank[own]] > np.bincount(number)[number[page[own]]]] if len(own) else own
+            whole = np.array([n == 1 for n in split])
+            here = often[whole[page[often]]]  # hosts of one array are decided here, of others it names the runs
+            streams_of = page_counts(rank, content[page], here) if len(here) else here
+            wide = spread(here[streams_of[rank[here]] >= FEW], len(page), RUN) if len(here) else None
+            named: list[list[int] | None] = [None] * len(texts)
+            there = often[~whole[page[often]]]
+            if len(there):
+                grams = words.chained(hashes, RUN).view(np.int64)[there]
+                _, first = np.unique(number, return_index=True)
+                for g in np.unique(number[page[there]]):
+                    named[first[g]] = np.unique(grams[number[page[there]] == g]).tolist()
             out, left = [], []
             for k in range(len(texts)):
                 masks = [covered[bounds[b] : bounds[b + 1]] for b in range(blocks[k], blocks[k + 1])]
-                out.append("\n".join(remaining(texts[k], kinds[k], masks)))
+                every = None if wide is None else [wide[bounds[b] : bounds[b + 1]] for b in range(blocks[k], blocks[k + 1])]
+                out.append("\n".join(remaining(texts[k], kinds[k], masks, every)))
                 if split[k] > 1 and OPEN in kinds[k]:
                     left.append((texts[k], bytes(kinds[k]), covered[ends[k] : ends[k + 1]].tobytes()))
                 else:
@@ -275,8 +320,8 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html", identity:
             more = [pa.array(c, t) for c, t in zip(zip(*left), (pa.list_(pa.string()), pa.binary(), pa.binary()))]
             arrays = [table.column(c).combine_chunks() for c in kept]
             return pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(out, pa.string()), pa.array(hosts), pa.array(shards, pa.int32()), *more],
-                [*kept, "text", "_host", "_shard", "_texts", "_kinds", "_covered"],
+                [*arrays, pa.array(out, pa.string()), pa.array(hosts), pa.array(shards, pa.int32()), *more, pa.array(named, pa.list_(pa.int64()))],
+                [*kept, "text", "_host", "_shard", "_texts", "_kinds", "_covered", "_wide"],
             )
 
         held: list[pa.RecordBatch] = []
@@ -297,29 +342,55 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html", identity:
             yield solve([h for h in held if h.num_rows])
 
     done = written(together.mapInArrow(clean, schema), "page-texts")
-    final = done.where("_covered is null").select(*kept, "text")
-    late = done.where("_covered is not null")
-    if late.limit(1).count():
+    late = done.where("_covered is not null").select(*kept, "_host", "_texts", "_kinds", "_covered")
+    named = written(done.where("_wide is not null").select("_host", F.explode("_wide").alias("gram")).distinct(), "often")
+    asked = {"open": bool(late.limit(1).count()), "wide": bool(named.limit(1).count())}
+    final = done
+    if asked["wide"]:  # all pages of such hosts once more
+        again = written(named.select("_host").distinct(), "often-hosts")
+        source = lookup_join(rows.withColumn("_spread", F.xxhash64(html)), again, ["_host"], salt_on=["_spread"]).drop("_spread")
+        unpack = F.udf(lambda data: unpacked(data), ST.ArrayType(ST.StringType()))
+        found = parsed(source, html).select(*kept, "_host", unpack("texts").alias("_texts"), F.col("kinds").alias("_kinds"), F.lit(None).cast("binary").alias("_covered"))
+        mark = again.withColumn("_again", F.lit(True))
+        final = lookup_join(done, mark, ["_host"], "left", salt_on=["text"]).where("_again is null").drop("_again")
+        late = lookup_join(late, mark, ["_host"], "left", salt_on=["_kinds"]).where("_again is null").drop("_again").select(found.columns).unionByName(found)
+    final = final.where("_covered is null").select(*kept, "text")
+    if any(asked.values()):
+        pages_of = written(late.withColumn("_row", F.monotonically_increasing_id()), "late-pages")
+        places = pages_of.select("_row", "_host", "_texts", "_kinds").mapInArrow(places_of, "_row bigint, _host string, at int, gram bigint, stream bigint, own boolean")
         # runs on pages of different arrays of one host: those of all its pages, with articles too
-        split = written(late.select("_host").distinct(), "late-hosts")
+        open_hosts = pages_of.where(F.instr(F.hex("_kinds"), f"{OPEN:02X}") > 0).select("_host").distinct()
+        split = written(open_hosts, "late-hosts")
         sources = parsed(lookup_join(rows.select("_host", html).withColumn("_spread", F.xxhash64(html)), split, ["_host"], salt_on=["_spread"]).select("_host", html), html)
         grams = sources.mapInArrow(grams_of, "_host string, gram bigint, stream bigint")
         shared = grams.groupBy("_host", "gram").agg(F.min("stream").alias("a"), F.max("stream").alias("b")).where("a < b").select("_host", "gram")
-        pages_of = written(late.withColumn("_row", F.monotonically_increasing_id()), "late-pages")
-        places = pages_of.select("_row", "_host", "_texts").mapInArrow(places_of, "_row bigint, _host string, at int, gram bigint")
-        hit = places.join(shared, ["_host", "gram"])
-        marks = hit.groupBy("_row").agg(F.sort_array(F.collect_list("at")).alias("_marks"))  # places in one page
+        marks = places.join(shared, ["_host", "gram"]).groupBy("_row").agg(F.sort_array(F.collect_list("at")).alias("_marks"))  # places in one page
+        joined = pages_of.join(marks, "_row", "left")
+        if asked["wide"]:
+            hit = written(places.where("own").join(named, ["_host", "gram"]), "often-places")
+            sizes_of = pages_of.groupBy("_host").agg(F.count("*").alias("_pages"))
+            on = hit.select("_host", "gram", "_row", "stream").distinct().groupBy("_host", "gram")
+            counted = on.agg(F.count("*").alias("n"), F.count_distinct("stream").alias("streams")).join(sizes_of, "_host")
+            wide = counted.where((2 * F.col("n") > F.col("_pages")) & (F.col("streams") >= FEW)).select("_host", "gram")
+            joined = joined.join(hit.join(wide, ["_host", "gram"]).groupBy("_row").agg(F.sort_array(F.collect_list("at")).alias("_every")), "_row", "left")
+        else:
+            joined = joined.withColumn("_every", F.lit(None).cast("array<int>"))
 
         def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 out = []
-                for texts, kinds, covered, marks in zip(*(batch.column(c).to_pylist() for c in ("_texts", "_kinds", "_covered", "_marks"))):
-                    mask = np.frombuffer(covered, bool) | spread(np.array(marks or [], np.int64), len(covered), RUN)
-                    bounds = np.append(0, np.cumsum([len(t.split(" ")) for t in texts]))
-                    out.append("\n".join(remaining(texts, list(kinds), [mask[a:b] for a, b in zip(bounds[:-1], bounds[1:])])))
+                for texts, kinds, covered, marks, every in zip(*(batch.column(c).to_pylist() for c in ("_texts", "_kinds", "_covered", "_marks", "_every"))):
+                    bounds = np.append(0, np.cumsum([len(t.split(" ")) for t in texts], dtype=np.int64))
+                    n = int(bounds[-1])
+                    mask = spread(np.array(marks or [], np.int64), n, RUN)
+                    if covered is not None:
+                        mask = mask | np.frombuffer(covered, bool)
+                    wide = spread(np.array(every or [], np.int64), n, RUN)
+                    cut = [[m[a:b] for a, b in zip(bounds[:-1], bounds[1:])] for m in (mask, wide)]
+                    out.append("\n".join(remaining(texts, list(kinds), *cut)))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(out, pa.string())], [*kept, "text"])
 
-        joined = pages_of.join(marks, "_row", "left").select(*kept, "_texts", "_kinds", "_covered", "_marks")
+        joined = joined.select(*kept, "_texts", "_kinds", "_covered", "_marks", "_every")
         final = final.unionByName(joined.mapInArrow(finish, ST.StructType(list(fields)).add("text", ST.StringType())))
     return final.withColumn("n_chars", F.char_length("text").cast("bigint"))
 

@@ -110,3 +110,41 @@ def test_query_gives_the_articles(spark, small):
         blocks = [" ".join(escapes.unescape(re.sub(r"</?b>|<br>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", body)]
         text = "\n".join(b for b in blocks if b)
         assert got[r["page_id"]]["text"] == text and got[r["page_id"]]["n_chars"] == len(text)
+
+
+def test_runs_in_most_articles_of_a_host_go_and_shared_passages_stay(spark):
+    rng = random.Random(9)
+    words = lambda n: " ".join(f"v{rng.randrange(5000)}" for _ in range(n))
+    notice, passage = words(20), words(30)
+    rows, want = [], {}
+    for k in range(40):  # in the articles of most pages, of all kinds of marks
+        body = words(60) + (f" {passage} " if k < 8 else " ") + words(20)
+        advert = f"<p class=x>{notice}</p>" if k % 4 else ""
+        rows.append((k, f"http://most.example.com/{k}", f"<article><p>{body}</p>{advert}<p>end{k}</p></article>"))
+        want[k] = f"{body}\nend{k}"
+    for k in range(40, 44):  # few pages
+        body = words(60)
+        rows.append((k, f"http://few.example.com/{k}", f"<article><p>{body}</p><p>{notice}</p></article>"))
+        want[k] = f"{body}\n{notice}"
+    copy = words(60)
+    for k in range(50, 70):  # copies of one article are one page
+        body = copy if k < 66 else words(40)
+        rows.append((k, f"http://copies.example.com/{k}", f"<article><p>{body}</p><p>{notice}</p></article>"))
+        want[k] = body
+    for k in range(70, 82):  # more than half of the article: it stays
+        rows.append((k, f"http://short.example.com/{k}", f"<article><p>{notice}</p><p>own{k}</p></article>"))
+        want[k] = f"{notice}\nown{k}"
+    for k in range(90, 102):  # an open page of a host whose articles hold a notice
+        body = words(60)
+        rows.append((k, f"http://mixed.example.com/{k}", f"<article><p>{body}</p><p>{notice}</p></article>" if k % 6 else f"<p>{body}</p><p>{notice}</p>"))
+        want[k] = body
+    for k in range(110, 120):  # in articles of fewer than five streams
+        body = copy if k < 117 else words(30)
+        rows.append((k, f"http://same.example.com/{k}", f"<article><p>{body}</p><p>{notice}</p></article>"))
+        want[k] = f"{body}\n{notice}"
+    rows += [(130, "http://most.example.com/none", None), (131, "http://most.example.com/empty", "")]
+    want |= {130: "", 131: ""}
+    table = spark.createDataFrame([(k, u, h) for k, u, h in rows], "page_id bigint, url string, html string").repartition(4)
+    for shard in (pages.SHARD, 1500):
+        got = {r["page_id"]: r["text"] for r in pages.extracted(table, shard=shard).collect()}
+        assert [k for k in want if got[k] != want[k]] == []

@@ -64,6 +64,19 @@ def test_rbf_and_boosting(table):
     assert boosted.transform(stats).where("prediction is null").isEmpty()
 
 
+@pytest.mark.parametrize("kind, estimator", [("LR", classifiers.LogisticRegression), ("SVM", classifiers.OneVsRest)])
+def test_iterative_fits_read_their_features_from_files(table, monkeypatch, kind, estimator):
+    seen, fit = [], estimator.fit
+    monkeypatch.setattr(estimator, "fit", lambda self, df, params=None: seen.append(df) or fit(self, df, params))
+    part = table.where("split = 'train'").repartition(20)
+    held = {**SHORT, "model__C": 0.01, **({"model__kernel": "linear"} if kind == "SVM" else {})}
+    model = classifiers.fit_classifier(f"TF-IDF stats poly {kind}", held, INPUTS, part)
+    assert len(seen) == 1 and len(seen[0].inputFiles()) > 0 and {"features", "label", "weight"} <= set(seen[0].columns)
+    assert not {"text", "tokens", "grams", "stats", "joined"} & set(seen[0].columns)
+    assert seen[0].rdd.getNumPartitions() <= part.sparkSession.sparkContext.defaultParallelism
+    assert seen[0].count() == part.count() and model.transform(part).where("prediction is null").isEmpty()
+
+
 def test_save_load_score_and_stream(spark, table, tmp_path):
     part = table.where("split = 'train'")
     model = classifiers.fit_classifier("TF-IDF stats poly MultinomialNB", SHORT, INPUTS, part)

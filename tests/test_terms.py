@@ -103,3 +103,16 @@ def test_char_ngrams_of_repeated_documents_without_a_row_per_ngram_in_a_group(sp
     assert got == {(1, 0, "ab"): 3, (1, 0, "ba"): 1, (1, 1, "ab"): 1, (1, 2, "ab"): 1, (1, 2, "bc"): 1, (None, 0, "bb"): 1}
     grouped = [line for line in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate" in line]
     assert len(grouped) == 1 and "gram" not in grouped[0].split("]")[0]
+
+
+def test_corpus_ngrams_count_documents_of_several_rows_once_and_shuffle_no_texts(spark):
+    rows = [(1, "a b a"), (1, "b a"), (2, "a"), (None, "c c"), (None, "c d"), (3, None), (4, ""), (5, "b a b a")]
+    df = spark.createDataFrame(rows, "doc bigint, text string").repartition(3)
+    tokens = F.split("text", " ")
+    for part in (df, df.where("doc > 1")):
+        want = terms.document_frequency(terms.term_counts(part, "doc", tokens, 1, 3))
+        got = terms.corpus_ngrams(part, "doc", tokens, 1, 3)
+        assert got.columns == ["term", "df", "total"] and got.dtypes == want.dtypes
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = terms.corpus_ngrams(df.where("doc > 1"), "doc", tokens, 1, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc" not in plan

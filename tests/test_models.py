@@ -222,3 +222,33 @@ def test_scored_rows_are_kept_without_their_texts(spark, tmp_path, monkeypatch):
     out = model_queries.outcome(spark, str(tmp_path), df, probabilities="probability")
     assert sorted(map(tuple, out.collect())) == [(i, "train", i % 2, True, True, True) for i in range(8)]
     assert kept == [["doc_id", "split", "label", "prediction", "probability"]]
+
+
+def test_folds_share_one_count_of_terms_and_learn_their_own_vocabularies(spark):
+    from pyspark.ml.feature import CountVectorizer
+
+    rows = [(i, i % 3, ["a", "b" if i % 2 else "c", f"w{i % 5}", "a"] + (["z"] if i % 3 == 1 else [])) for i in range(30)] + [(30, 0, [])]
+    df = spark.createDataFrame(rows, "doc_id int, fold int, grams array<string>")
+    sizes = {r["fold"]: r["count"] for r in df.groupBy("fold").count().collect()}
+    stage = CountVectorizer(inputCol="grams", outputCol="tf", minDF=2.0, maxDF=0.9, vocabSize=search.EVERY_TERM)
+    shared = search.counted(stage, df, "fold", sizes)
+    assert "grams" not in shared.rows.columns and {str(kind) for kind in shared.facts.schema.types} <= {"int32", "int64"}
+    for fold in sizes:
+        model = stage.fit(df.where(F.col("fold") != fold))
+        want = {r["doc_id"]: sorted((model.vocabulary[i], x) for i, x in zip(r["tf"].indices, r["tf"].values)) for r in model.transform(df).collect()}
+        numbers, width = shared.numbers(fold, stage)
+        assert width == len(model.vocabulary) and sorted(numbers[numbers >= 0]) == list(range(width))
+        got = {r["doc_id"]: r["tf"] for r in search.renumbered(shared.rows, "tf", numbers, width).collect()}
+        column = {}
+        for r in df.collect():
+            assert got[r["doc_id"]].size == width and sorted(got[r["doc_id"]].values) == sorted(x for _, x in want[r["doc_id"]])
+            for term, _ in want[r["doc_id"]]:
+                column[term] = column.get(term, set(got[r["doc_id"]].indices)) & set(got[r["doc_id"]].indices)
+        assert set(column) == set(model.vocabulary) and all(column.values())
+    assert search.counted(CountVectorizer(inputCol="grams", outputCol="tf", minDF=99.0), df, "fold", sizes) is None
+
+
+def test_folds_run_side_by_side_only_as_the_driver_holds_them(table, monkeypatch):
+    assert search.side_by_side(table, "label", 1000, 5) == 5
+    monkeypatch.setattr(search, "FIT_VECTORS", 1 << 40)
+    assert search.side_by_side(table, "label", 1000, 5) == 1

@@ -252,3 +252,28 @@ def test_folds_run_side_by_side_only_as_the_driver_holds_them(table, monkeypatch
     assert search.side_by_side(table, "label", 1000, 5) == 5
     monkeypatch.setattr(search, "FIT_VECTORS", 1 << 40)
     assert search.side_by_side(table, "label", 1000, 5) == 1
+
+
+def test_random_search_holds_nothing_returns_every_draw_and_fits_the_best_again(spark, small, monkeypatch, table):
+    asked, fits = {}, []
+
+    def found(name, df, inputs, k=5, n_iter=10, **options):
+        asked.update(options, k=k, n_iter=n_iter)
+        scores = {f"{m}_{s}": 0.5 for m in search.METRICS for s in ("mean", "std")}
+        return [{"draw": d, "params": {"model__C": float(d)}, **scores} for d in range(9, -1, -1)]
+
+    class Always:
+        def transform(self, df):
+            return df.withColumns({"prediction": F.col("label"), "probability": F.array(F.lit(1.0), F.lit(0.0))})
+
+    def fit(name, params, inputs, train):
+        fits.append((params, train.count()))
+        return Always()
+
+    monkeypatch.setattr(model_queries.search, "random_search", found)
+    monkeypatch.setattr(model_queries, "fit_classifier", fit)
+    monkeypatch.setattr(model_queries, "prepared", lambda spark, folder: (table.withColumn("split", F.lit("train")), INPUTS))
+    rows = model_queries.random_search(spark, small).collect()
+    assert sorted(r["draw"] for r in rows) == list(range(10)) and all(r["bounded"] and r["best_first"] for r in rows)
+    assert not asked.get("fixed_params") and (asked["k"], asked["n_iter"]) == (5, 10)
+    assert fits == [({"model__C": 9.0}, table.count())]

@@ -140,3 +140,20 @@ def test_more_components_than_the_rows_span(spark):
     zeros = spark.createDataFrame([(0, Vectors.sparse(40, {})), (1, Vectors.dense([0.0] * 40))], ["id", "v"])
     model = TruncatedSvd(inputCol="v", outputCol="c", k=4).fit(zeros)
     assert [r["c"].toArray().tolist() for r in model.transform(zeros).collect()] == [[0.0] * 4] * 2
+
+
+def test_rows_are_read_once_for_all_rounds_and_never_shuffled(spark):
+    rng = np.random.default_rng(2)
+    matrix = (rng.random((50, 300)) < 0.1) * rng.choice([1.0, 2.5, 300.0, 1e-9], (50, 300))
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def seen(i):
+        read.add(1)
+        return i
+
+    df = spark.createDataFrame([(i, Vectors.sparse(300, [(int(j), float(r[j])) for j in np.flatnonzero(r)])) for i, r in enumerate(matrix)], ["id", "v"]).repartition(2)
+    df = df.withColumn("id", seen("id")).where("id >= 0")
+    model = TruncatedSvd(inputCol="v", outputCol="c", k=3, rounds=40).fit(df)
+    assert read.value < 3 * 50  # the width, and the chunks
+    assert np.allclose(model.values, np.linalg.svd(matrix, compute_uv=False)[:3], rtol=1e-6)

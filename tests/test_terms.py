@@ -4,7 +4,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from penprint.functions import fixed
-from penprint.operators import bayes, terms, topics
+from penprint.operators import bayes, scale, terms, topics
 
 TEXTS = ["кот и пёс кот", "пёс бежит домой и кот", "а и б", "", "домой домой домой"]
 
@@ -116,3 +116,16 @@ def test_corpus_ngrams_count_documents_of_several_rows_once_and_shuffle_no_texts
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     plan = terms.corpus_ngrams(df.where("doc > 1"), "doc", tokens, 1, 3)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(doc" not in plan
+
+
+def test_a_vocabulary_too_large_to_broadcast_is_not_copied(spark, monkeypatch):
+    rows = [(i if i else None, [f"w{i % 7}", "a", "a", f"r{i}"] + (["b"] if i % 2 else [])) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc int, t array<string>")
+    counts = terms.term_counts(df, "doc", F.col("t"))
+    listed = terms.vocabulary(counts, 40, min_df=1).where("term <> 'w3'")
+    want = sorted(map(str, terms.tfidf(counts, listed, "doc", 40).withColumn("weight", F.round("weight", 9)).collect()))
+    monkeypatch.setattr(scale, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(scale, "FREQUENT_ROWS", 5)
+    out = terms.tfidf(counts, listed, "doc", 40).withColumn("weight", F.round("weight", 9))
+    assert sorted(map(str, out.collect())) == want and len(want) > 100
+    assert "_salt" not in out._jdf.queryExecution().executedPlan().toString()
